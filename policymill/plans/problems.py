@@ -125,7 +125,7 @@ WHERE coalesce(gone, true)""",
     "p5_open": _P5 + """,
 months AS (SELECT DISTINCT ref_table, date_trunc('month', m) AS m FROM (
   SELECT ref_table, ts AS m FROM r UNION ALL SELECT x.ref_table, p.ts FROM p JOIN (SELECT DISTINCT ref_table, pt, k FROM r) x USING (pt, k))),
-counted AS (SELECT m.ref_table, m.m, r.pt, r.k, count(*) AS n FROM months m JOIN r ON r.ref_table = m.ref_table AND r.ts < m.m + INTERVAL 1 MONTH GROUP BY ALL),
+counted AS (SELECT m.ref_table, m.m, r.pt, r.k, count(r.load_id) AS n FROM months m LEFT JOIN r ON r.ref_table = m.ref_table AND r.ts < m.m + INTERVAL 1 MONTH GROUP BY ALL),
 stated AS (SELECT c.ref_table, c.m, c.n, arg_max(p.gone, (p.ts, p.seq)) AS gone FROM counted c LEFT JOIN p ON p.pt = c.pt AND p.k = c.k AND p.ts < c.m + INTERVAL 1 MONTH GROUP BY c.ref_table, c.m, c.pt, c.k, c.n)
 SELECT ref_table, strftime(m, '%Y-%m') AS period, CAST(sum(CASE WHEN coalesce(gone, true) THEN n ELSE 0 END) AS bigint) AS open_refs FROM stated GROUP BY ALL""",
 }
