@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policymill.llm import packing, splitting, tokenizer
+from policymill.llm import near_duplicates, packing, splitting, tokenizer
 from policymill.runtime import table
 
 
@@ -20,6 +20,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pieces(spark, sf_dir).where("piece_no = 0").select("source_table", F.col("item_id").cast("bigint").alias("item_id"))
 
 
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, copies and number of links of every chunk and indication of at least 20 words."""
+    chunks = table(spark, sf_dir, "doc_chunk").select(F.lit("doc_chunk").alias("item_table"), F.col("chunk_id").alias("id"), F.col("content").alias("text"))
+    texts = table(spark, sf_dir, "lcd").select(F.lit("lcd").alias("item_table"), F.col("doc_pk").alias("id"), F.col("indication").alias("text"))
+    return near_duplicates.near_duplicate_groups(chunks.unionByName(texts), "id", "text", "item_table", width=3, threshold=0.7, least_words=20)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.group_pairs(p6_groups(spark, sf_dir), ["item_table", "id"])
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -34,7 +45,7 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p7_ids, p8_containers, p8_fill)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p6_found, p6_groups, p7_ids, p8_containers, p8_fill)}
 
 ORACLE = {
     "p2_found": """
