@@ -3,7 +3,7 @@
 Word shingles are min-hashed to a signature of SYMBOLS small symbols. The signature is split into CHUNKS parts; two
 signatures that differ in fewer than (errors + 1) * CHUNKS symbols agree, by pigeonhole, in one part up to `errors`
 symbols. Every part is therefore indexed under its neighbourhoods of one error (one symbol left out), and items that
-meet under a key are compared by the Hamming distance of a one-bit sketch of the signature before a pair is made. Pairs
+meet under a key are compared by the symbols in which the two low bits differ (b = 2) before a pair is made. Pairs
 are then verified with the exact similarity. Groups are the connected components of the verified links.
 """
 
@@ -25,18 +25,38 @@ from policymill.runtime import materialize
 WORDS = re.compile(r"[^\W_]+")
 CHUNKS, PER_CHUNK = 12, 4
 SYMBOLS = CHUNKS * PER_CHUNK
-SKETCH_DISTANCE = 17
+SKETCH_DISTANCE = 21
 BUCKET = 512  # larger buckets are compared in blocks of this size, spread over tasks
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (2, SYMBOLS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+_HASHES: dict[str, int] = {}
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hash(word: str) -> int:
+    if len(_HASHES) > 1_000_000:
+        _HASHES.clear()
+    h = _HASHES[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+    return h
+
+
 def shingles(text: str | None, width: int, least_words: int) -> np.ndarray | None:
     """Sorted 64-bit hashes of the different runs of `width` words; None for texts of fewer than `least_words` words."""
     words = WORDS.findall(text.lower()) if text else []
     if len(words) < max(least_words, width):
         return None
-    runs = {" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
-    return np.sort(np.fromiter((xxhash.xxh3_64_intdigest(r.encode("utf-8", "replace")) for r in runs), np.uint64, len(runs)))
+    known = _HASHES.get
+    w = np.array([known(x) or _hash(x) for x in words], np.uint64)
+    run = w[: len(w) - width + 1].copy()
+    for i in range(1, width):
+        run ^= run >> np.uint64(32)
+        run *= _MIX
+        run += w[i : len(w) - width + 1 + i]
+    run ^= run >> np.uint64(31)
+    run *= _MIX
+    run ^= run >> np.uint64(32)
+    return np.unique(run)
 
 
 def signature(runs: np.ndarray) -> np.ndarray:
@@ -44,9 +64,9 @@ def signature(runs: np.ndarray) -> np.ndarray:
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(runs), 1 << 14):
-            h = runs[at : at + (1 << 14), None] * _ODD[0] + _ODD[1]
-            h ^= h >> np.uint64(29)
-            least = np.minimum(least, (h * _ODD[1]).min(0))
+            h = runs[at : at + (1 << 14), None] * _ODD[0]
+            h += _ODD[1]
+            least = np.minimum(least, h.min(0))
         return ((least ^ (least >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
 
@@ -61,13 +81,19 @@ def block_keys(sig: np.ndarray) -> np.ndarray:
     return (((where << np.uint64(48)) | (left[..., 0] << np.uint64(32)) | (left[..., 1] << np.uint64(16)) | left[..., 2])).reshape(-1).view(np.int64)
 
 
-def sketch(sig: np.ndarray) -> int:
-    """One bit of each symbol."""
-    return int(((sig & np.uint64(1)) << np.arange(SYMBOLS, dtype=np.uint64)).sum())
+def sketch(sig: np.ndarray) -> tuple[int, int]:
+    """The two low bits of each symbol, as two planes."""
+    at = np.arange(SYMBOLS, dtype=np.uint64)
+    return int(((sig & np.uint64(1)) << at).sum()), int(((sig >> np.uint64(1) & np.uint64(1)) << at).sum())
+
+
+def apart(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
+    """In how many symbols two sketches differ."""
+    return np.bitwise_count((x0 ^ y0) | (x1 ^ y1))
 
 
 def _keyed(df: DataFrame, width: int, least_words: int) -> DataFrame:
-    """(g, id, digest, keys, sketch) of items with enough words; texts with the same runs have the same digest."""
+    """(g, id, digest, keys, s0, s1) of items with enough words; texts with the same runs have the same digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,15 +109,15 @@ def _keyed(df: DataFrame, width: int, least_words: int) -> DataFrame:
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * SYMBOLS, pa.int32()), pa.array(flat))
             some = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([some.column("g"), some.column("id"), pa.array(digests, pa.binary()), lists, pa.array(sketches, pa.int64())], ["g", "id", "digest", "keys", "sketch"])
+            yield pa.RecordBatch.from_arrays([some.column("g"), some.column("id"), pa.array(digests, pa.binary()), lists, pa.array([x for x, _ in sketches], pa.int64()), pa.array([y for _, y in sketches], pa.int64())], ["g", "id", "digest", "keys", "s0", "s1"])
 
-    return df.select("g", "id", "t").mapInArrow(run, "g string, id bigint, digest binary, keys array<bigint>, sketch bigint")
+    return df.select("g", "id", "t").mapInArrow(run, "g string, id bigint, digest binary, keys array<bigint>, s0 bigint, s1 bigint")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs under the sketch distance among rows sorted by (g, key); rows of large buckets are passed on with b NULL."""
 
-    def pairs(g: np.ndarray, key: np.ndarray, sk: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(g: np.ndarray, key: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a stretch of whole buckets: pair ends, and which rows are in large buckets."""
         n = len(key)
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (g[1:] != g[:-1])]) if n else np.zeros(0, bool)
@@ -102,7 +128,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left[hot] = 0
         a_all, b_all, step, at = [], [], 1, np.flatnonzero(left >= 1)
         while len(at):
-            near = at[np.bitwise_count(sk[at] ^ sk[at + step]) <= SKETCH_DISTANCE]
+            near = at[apart(s0[at], s1[at], s0[at + step], s1[at + step]) <= SKETCH_DISTANCE]
             a_all.append(near)
             b_all.append(near + step)
             step += 1
@@ -112,17 +138,16 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(table: pa.Table, whole: int) -> pa.RecordBatch:
         names = pa.concat_arrays(table.column("g").chunks)
         g = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)[:whole]
-        key, rep, sk = (table.column(c).to_numpy()[:whole] for c in ("key", "rep", "sketch"))
-        a, b, hot = pairs(g, key, sk)
+        key, rep, s0, s1 = (table.column(c).to_numpy()[:whole] for c in ("key", "rep", "s0", "s1"))
+        a, b, hot = pairs(g, key, s0, s1)
         rest = np.flatnonzero(hot)
         rows = np.concatenate([a, rest])
         lo, hi = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
         different = np.concatenate([lo != hi, np.ones(len(rest), bool)])
-        none = pa.nulls(len(rest), pa.int64())
-        got = pa.RecordBatch.from_arrays(
-            [names.take(pa.array(rows)), pa.array(np.concatenate([lo, rep[rest]])), pa.concat_arrays([pa.array(hi, pa.int64()), none]), pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key[rest], pa.int64())]), pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(sk[rest], pa.int64())])],
-            ["g", "a", "b", "key", "sketch"],
-        )
+        none = pa.nulls(len(a), pa.int64())
+        kept = [pa.concat_arrays([none, pa.array(x[rest], pa.int64())]) for x in (key, s0, s1)]
+        ends = pa.concat_arrays([pa.array(hi, pa.int64()), pa.nulls(len(rest), pa.int64())])
+        got = pa.RecordBatch.from_arrays([names.take(pa.array(rows)), pa.array(np.concatenate([lo, rep[rest]])), ends, *kept], ["g", "a", "b", "key", "s0", "s1"])
         return got.filter(pa.array(different))
 
     held: pa.Table | None = None
@@ -150,8 +175,8 @@ def _blocks(hot: DataFrame) -> DataFrame:
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         one, two = pdf[pdf.block == pdf.lo], pdf[pdf.block == pdf.hi]
-        x, y = one.sketch.to_numpy(), two.sketch.to_numpy()
-        i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= SKETCH_DISTANCE)
+        x0, x1, y0, y1 = one.s0.to_numpy(), one.s1.to_numpy(), two.s0.to_numpy(), two.s1.to_numpy()
+        i, j = np.nonzero(apart(x0[:, None], x1[:, None], y0[None, :], y1[None, :]) <= SKETCH_DISTANCE)
         a, b = one.a.to_numpy()[i], two.a.to_numpy()[j]
         lo, hi = np.minimum(a, b), np.maximum(a, b)
         keep = lo != hi
@@ -163,9 +188,9 @@ def _blocks(hot: DataFrame) -> DataFrame:
 
 def candidate_pairs(reps: DataFrame) -> DataFrame:
     """Distinct pairs (g, a, b) of representatives that meet under a key and pass the sketch distance."""
-    keyed = reps.select("g", F.col("rep"), "sketch", F.explode("keys").alias("key"))
-    met = keyed.repartition("key").sortWithinPartitions("key", "g").select("g", "rep", "sketch", "key")
-    met = materialize(met.mapInArrow(_meet, "g string, a bigint, b bigint, key bigint, sketch bigint"), "near-met")
+    keyed = reps.select("g", "rep", "s0", "s1", F.explode("keys").alias("key"))
+    met = keyed.repartition("key").sortWithinPartitions("key", "g").select("g", "rep", "s0", "s1", "key")
+    met = materialize(met.mapInArrow(_meet, "g string, a bigint, b bigint, key bigint, s0 bigint, s1 bigint"), "near-met")
     small = met.where("b is not null").select("g", "a", "b")
     return small.unionByName(_blocks(met.where("b is null"))).distinct()
 
@@ -203,7 +228,7 @@ def near_duplicate_groups(df: DataFrame, key: str, text: str, table: str | None
     Items of different `table` values are not compared. `copies_of` is the least key with the same set of runs, `links`
     the number of other such sets similar to it. NULL and empty texts, and those of fewer than `least_words` or
     `width` words, are in no group and give no row. Keys must tell the items of a table apart; NULL keys are left out.
-    A pair is found if fewer than 24 of its 48 symbols differ and at most 17 of the sketch bits: at a similarity of
+    A pair is found if fewer than 24 of its 48 symbols differ and fewer than 22 in their two low bits: at a similarity of
     0.7 with a chance above 0.99, which grows with the similarity.
     """
     g = F.col(table).cast("string") if table else F.lit("")
