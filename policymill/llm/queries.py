@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policymill.llm import near_duplicates, packing, splitting, tokenizer
+from policymill.llm import near_duplicates, neighbours, packing, splitting, tokenizer
 from policymill.runtime import table
 
 
@@ -20,6 +20,17 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_pieces(spark, sf_dir).where("piece_no = 0").select("source_table", F.col("item_id").cast("bigint").alias("item_id"))
 
 
+def p3_neighbours(spark: SparkSession, sf_dir: str, model: str = "policy-embed:v2", dim: int = 768) -> DataFrame:
+    """The five most similar chunks of every chunk with a usable vector."""
+    rows = table(spark, sf_dir, "chunk_embedding").where(F.col("model") == model)
+    latest = rows.groupBy("chunk_id").agg(F.max_by("embedding", F.struct("created_at", F.xxhash64("embedding"))).alias("embedding"))
+    return neighbours.nearest(latest, "chunk_id", "embedding", dim)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.pairs(p3_neighbours(spark, sf_dir), "chunk_id")
+
+
 def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group, copies and number of links of every chunk and indication of at least 20 words."""
     chunks = table(spark, sf_dir, "doc_chunk").select(F.lit("doc_chunk").alias("item_table"), F.col("chunk_id").alias("id"), F.col("content").alias("text"))
@@ -45,7 +56,7 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p6_found, p6_groups, p7_ids, p8_containers, p8_fill)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_neighbours, p6_found, p6_groups, p7_ids, p8_containers, p8_fill)}
 
 ORACLE = {
     "p2_found": """
