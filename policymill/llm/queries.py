@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from policymill.llm import near_duplicates, neighbours, packing, splitting, tokenizer
+from policymill.llm import near_duplicates, neighbours, packing, splitting, subjects, tokenizer
 from policymill.runtime import table
 
 
@@ -56,7 +56,22 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_neighbours, p6_found, p6_groups, p7_ids, p8_containers, p8_fill)}
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subjects of each document with their share of its sentences."""
+    return subjects.subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_label"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_shares(spark, sf_dir).select("doc_id", "subject_id")
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and summed shares of each subject over the corpus."""
+    per = p9_shares(spark, sf_dir).groupBy("subject_id").agg(F.count(F.lit(1)).alias("documents"), F.sum("share").alias("share"))
+    return table(spark, sf_dir, "subject_area").select(F.col("subject_id").cast("bigint").alias("subject_id"), "subject_name").join(per, "subject_id", "left")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_neighbours, p6_found, p6_groups, p7_ids, p8_containers, p8_fill, p9_found, p9_shares, p9_composition)}
 
 ORACLE = {
     "p2_found": """
