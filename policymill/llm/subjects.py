@@ -23,10 +23,29 @@ from pyspark.sql import functions as F
 
 from policymill.runtime import materialize
 
-WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
-MARKUP = re.compile(r"<[^<>\n]{1,200}>|&(?:#\d+|#x[0-9a-fA-F]+|[A-Za-z]{2,8});")
-SENTENCE = re.compile(r"(?<=[.!?])(?<!\be\.g\.)(?<!\bNo\.)(?<!\bno\.)[\"'”»)]?\s+")
-LIST = re.compile(r"^\s*(?:[-*•]|\d{1,3}[.)])\s+")
+WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
+MARKUP = re.compile(r"<[^<>\s]{1,200}>|&(?:#\d+|#x[0-9a-f]+|[a-z]{2,8});")
+END = re.compile(r"[.!?][\"'”’»)]*$")
+NO_END = {"e.g.", "(e.g.", "i.e.", "(i.e.", "no."}  # abbreviations before which no sentence ends
+LIST = re.compile(r"(?:[-*•]|\d{1,3}[.)])$")
+
+
+class Pieces(dict):
+    """Blank-separated pieces of lower-case text: (words, whether a sentence ends, whether it is more than markup)."""
+
+    def __init__(self, number: dict[str, int] | None = None):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, piece: str) -> tuple[tuple, bool, bool]:
+        if len(self) > 500_000:
+            self.clear()
+        plain = MARKUP.sub(" ", piece).replace("’", "'")
+        words = [w for w in WORD.findall(plain) if len(w) > 1]
+        if self.number is not None:
+            words = [self.number[w] for w in words if w in self.number]
+        got = self[piece] = (tuple(words), piece not in NO_END and END.search(plain) is not None, not plain.isspace())
+        return got
 
 
 @dataclass(frozen=True)
@@ -46,17 +65,24 @@ class Settings:
     seed: int = 11
 
 
-def words_of(text: str) -> list[str]:
-    return [w for w in WORD.findall(text.lower().replace("’", "'")) if len(w) > 1]
-
-
-def sentences_of(text: str | None) -> list[str]:
-    """Sentences and list lines; headings are none."""
+def sentence_words(text: str, pieces: Pieces) -> list[list]:
+    """The words of each sentence or list line; headings are none."""
     out = []
-    for line in MARKUP.sub(" ", text or "").splitlines():
-        line = LIST.sub("", line).strip()
-        if line and not line.startswith("#"):
-            out += [s for s in SENTENCE.split(line) if s and not s.isspace()]
+    for line in text.lower().splitlines():
+        own = line.split()
+        if not own or own[0][0] == "#":
+            continue
+        words: list = []
+        more = False
+        for piece in own[1:] if LIST.match(own[0]) else own:
+            w, ends, solid = pieces[piece]
+            words += w
+            more |= solid
+            if ends and more:
+                out.append(words)
+                words, more = [], False
+        if more:
+            out.append(words)
     return out
 
 
@@ -64,12 +90,15 @@ def _counts(docs: DataFrame) -> DataFrame:
     """(lang, word, docs) over all documents; the word NULL counts the documents themselves."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces()
         for batch in batches:
-            seen: Counter = Counter()
+            by: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("t").to_pylist()):
-                seen.update((lang, w) for w in set(words_of(MARKUP.sub(" ", text))))
-                seen[lang, None] += 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(seen.values(), pa.int64())], ["lang", "word", "docs"])
+                own = by.setdefault(lang, Counter())
+                own.update({w for p in set(text.lower().split()) for w in pieces[p][0]})
+                own[None] += 1
+            seen = {(lang, w): n for lang, own in by.items() for w, n in own.items()}
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["lang", "word", "docs"])
 
     parts = docs.select("lang", "t").mapInArrow(count, "lang string, word string, docs bigint")
     return parts.groupBy("lang", "word").agg(F.sum("docs").alias("docs"))
@@ -92,12 +121,13 @@ def term_sentences(docs: DataFrame, terms: list[str]) -> DataFrame:
     number = {w: i for i, w in enumerate(terms)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces(number)
         for batch in batches:
             n, sents = [], []
             for text in batch.column("t").to_pylist():
-                own = sentences_of(text)
+                own = sentence_words(text, pieces)
                 n.append(len(own))
-                sents.append([x for s in own if (x := [number[w] for w in words_of(s) if w in number])])
+                sents.append([x for x in own if x])
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(n, pa.int32()), pa.array(sents, pa.list_(pa.list_(pa.int32())))], ["k", "n", "sents"])
 
     return docs.select("k", "t").mapInArrow(run, "k bigint, n int, sents array<array<int>>")
@@ -140,6 +170,7 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
         phi, subject = shipped.value
         of = np.zeros((phi.shape[1], len(ids)), np.float32)
         of[np.flatnonzero(subject >= 0), subject[subject >= 0]] = 1
+        even = np.full(phi.shape[1], 1 / phi.shape[1], np.float32)
         for batch in batches:
             keys, found, shares = [], [], []
             for k, n, sents in zip(batch.column("k").to_pylist(), batch.column("n").to_pylist(), batch.column("sents").to_pylist()):
@@ -147,13 +178,12 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
                     continue
                 flat = np.fromiter((w for x in sents for w in x), np.int64)
                 p = phi[flat]
-                theta = np.full(p.shape[1], 1 / p.shape[1], np.float32)
-                for _ in range(20):
-                    got = p * theta
-                    theta = (got / np.maximum(got.sum(1), 1e-30)[:, None]).sum(0) + 0.01
+                theta = even
+                for _ in range(10):
+                    theta = theta * ((1 / (p @ theta + 1e-20)) @ p) + 0.01
                     theta /= theta.sum()
-                got = p * theta
-                got = (got / np.maximum(got.sum(1), 1e-30)[:, None]) @ of
+                p *= theta
+                got = (p @ of) / (p.sum(1, keepdims=True) + 1e-20)
                 starts = np.concatenate([[0], np.cumsum([len(x) for x in sents])[:-1]])
                 score = np.add.reduceat(got, starts, axis=0)
                 best = score.argmax(1)
@@ -164,7 +194,7 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
                     shares.append(count[j] / n)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.int64()), pa.array(shares, pa.float64())], ["k", "subject_id", "share"])
 
-    return rows.mapInArrow(run, "k bigint, subject_id bigint, share double")
+    return rows.repartition("k").mapInArrow(run, "k bigint, subject_id bigint, share double")
 
 
 def subjects(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> DataFrame:
