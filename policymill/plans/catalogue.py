@@ -1,6 +1,6 @@
 """All queries of the core library by name, and their SQL."""
 
-from policymill.plans import problems
+from policymill.plans import problems, reference
 
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+QUERIES = {**reference.QUERIES, **problems.QUERIES}
+ORACLE = {**reference.ORACLE, **problems.ORACLE}
