@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from policymill.runtime import materialize
 WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
 MARKUP = re.compile(r"<[^<>\s]{1,200}>|&(?:#\d+|#x[0-9a-f]+|[a-z]{2,8});")
 END = re.compile(r"[.!?][\"'”’»)]*$")
+FOLDS = 5  # rounds in which the topic proportions of a document are fitted
 NO_END = {"e.g.", "(e.g.", "i.e.", "(i.e.", "no."}  # abbreviations before which no sentence ends
 LIST = re.compile(r"(?:[-*•]|\d{1,3}[.)])$")
 
@@ -176,22 +178,21 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
             for k, n, sents in zip(batch.column("k").to_pylist(), batch.column("n").to_pylist(), batch.column("sents").to_pylist()):
                 if not sents:
                     continue
-                flat = np.fromiter((w for x in sents for w in x), np.int64)
+                flat = [w for x in sents for w in x]
                 p = phi[flat]
                 theta = even
-                for _ in range(10):
-                    theta = theta * ((1 / (p @ theta + 1e-20)) @ p) + 0.01
-                    theta /= theta.sum()
+                for _ in range(FOLDS):
+                    theta = theta * ((1 / (p @ theta + 1e-20)) @ p) + 0.01  # scale plays no part
                 p *= theta
                 got = (p @ of) / (p.sum(1, keepdims=True) + 1e-20)
-                starts = np.concatenate([[0], np.cumsum([len(x) for x in sents])[:-1]])
+                starts = [0, *accumulate(map(len, sents[:-1]))]
                 score = np.add.reduceat(got, starts, axis=0)
-                best = score.argmax(1)
-                count = np.bincount(best[score.max(1) > 0.3], minlength=len(ids))
-                for j in np.flatnonzero(count >= s.share * n - 1e-9):
-                    keys.append(k)
-                    found.append(ids[j])
-                    shares.append(count[j] / n)
+                count = Counter(score.argmax(1)[score.max(1) > 0.3].tolist())
+                for j, c in count.items():
+                    if c >= s.share * n - 1e-9:
+                        keys.append(k)
+                        found.append(ids[j])
+                        shares.append(c / n)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.int64()), pa.array(shares, pa.float64())], ["k", "subject_id", "share"])
 
     return rows.repartition("k").mapInArrow(run, "k bigint, subject_id bigint, share double")
