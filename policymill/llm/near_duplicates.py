@@ -73,18 +73,19 @@ def signature(runs: np.ndarray) -> np.ndarray:
 _OUT = [[j for j in range(PER_CHUNK) if j != i] for i in range(PER_CHUNK)]
 
 
-def block_keys(sig: np.ndarray) -> np.ndarray:
-    """Keys of all one-error neighbourhoods of all parts."""
-    parts = sig.reshape(CHUNKS, PER_CHUNK)
-    left = np.stack([parts[:, o] for o in _OUT], 1)  # part, symbol left out, the others
-    where = np.arange(CHUNKS * PER_CHUNK, dtype=np.uint64).reshape(CHUNKS, PER_CHUNK)
-    return (((where << np.uint64(48)) | (left[..., 0] << np.uint64(32)) | (left[..., 1] << np.uint64(16)) | left[..., 2])).reshape(-1).view(np.int64)
+def block_keys(sigs: np.ndarray) -> np.ndarray:
+    """Of each signature the keys of all one-error neighbourhoods of all parts."""
+    parts = sigs.reshape(-1, CHUNKS, PER_CHUNK)
+    left = np.stack([parts[:, :, o] for o in _OUT], 2)  # item, part, symbol left out, the others
+    where = np.arange(CHUNKS * PER_CHUNK, dtype=np.uint64).reshape(CHUNKS, PER_CHUNK) << np.uint64(48)
+    keys = where | (left[..., 0] << np.uint64(32)) | (left[..., 1] << np.uint64(16)) | left[..., 2]
+    return keys.reshape(-1).view(np.int64)
 
 
-def sketch(sig: np.ndarray) -> tuple[int, int]:
+def sketches(sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two low bits of each symbol, as two planes."""
-    at = np.arange(SYMBOLS, dtype=np.uint64)
-    return int(((sig & np.uint64(1)) << at).sum()), int(((sig >> np.uint64(1) & np.uint64(1)) << at).sum())
+    at, one = np.arange(SYMBOLS, dtype=np.uint64), np.uint64(1)
+    return ((sigs & one) << at).sum(1).view(np.int64), ((sigs >> one & one) << at).sum(1).view(np.int64)
 
 
 def apart(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> np.ndarray:
@@ -97,19 +98,17 @@ def _keyed(df: DataFrame, width: int, least_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, digests, keys, sketches = [], [], [], []
+            keep, digests, sigs = [], [], []
             for i, text in enumerate(batch.column("t").to_pylist()):
                 runs = shingles(text, width, least_words)
                 if runs is not None:
-                    sig = signature(runs)
                     keep.append(i)
-                    digests.append(xxhash.xxh3_128_digest(runs.tobytes()))
-                    keys.append(block_keys(sig))
-                    sketches.append(sketch(sig))
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * SYMBOLS, pa.int32()), pa.array(flat))
+                    digests.append(xxhash.xxh3_128_digest(runs))
+                    sigs.append(signature(runs))
+            all_ = np.stack(sigs) if sigs else np.zeros((0, SYMBOLS), np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * SYMBOLS, pa.int32()), pa.array(block_keys(all_)))
             some = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([some.column("g"), some.column("id"), pa.array(digests, pa.binary()), lists, pa.array([x for x, _ in sketches], pa.int64()), pa.array([y for _, y in sketches], pa.int64())], ["g", "id", "digest", "keys", "s0", "s1"])
+            yield pa.RecordBatch.from_arrays([some.column("g"), some.column("id"), pa.array(digests, pa.binary()), lists, *map(pa.array, sketches(all_))], ["g", "id", "digest", "keys", "s0", "s1"])
 
     return df.select("g", "id", "t").mapInArrow(run, "g string, id bigint, digest binary, keys array<bigint>, s0 bigint, s1 bigint")
 
