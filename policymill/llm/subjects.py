@@ -156,11 +156,12 @@ def name_topics(phi: np.ndarray, pairs: np.ndarray, labelled: np.ndarray, s: Set
     total = max(1.0, labelled.sum())
     seen = pairs.sum(1)
     lift = (pairs + 1) / (seen + len(labelled))[:, None] / ((labelled + 1) / (total + len(labelled)))[None, :]
+    least = min(np.log(s.lift), np.log(len(labelled)) / 2)  # few subjects leave little room for a lift
     out = np.full(phi.shape[1], -1)
     for t in range(phi.shape[1]):
         top = np.argsort(-phi[:, t], kind="stable")[: s.top_terms]
         score = (phi[top, t][:, None] * np.log(lift[top])).sum(0) / phi[top, t].sum()
-        if len(score) and score.max() >= np.log(s.lift):
+        if len(score) and score.max() >= least:
             out[t] = int(score.argmax())
     return out
 
