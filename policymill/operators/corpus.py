@@ -144,3 +144,12 @@ def contractor_overview(c: Corpus, names: int = 8) -> DataFrame:
     per = held.groupBy("doc_pk").agg(F.array_sort(F.collect_set("contractor_bus_name")).alias("n"))
     more = F.when(F.size("n") > names, F.concat(F.lit("; +"), (F.size("n") - names).cast("string"), F.lit(" more"))).otherwise("")
     return per.where(F.size("n") > 0).select("doc_pk", F.concat(F.array_join(F.slice("n", 1, names), "; "), more).alias("line"))
+
+
+def overview(c: Corpus) -> DataFrame:
+    """(doc_pk, content): one text of labelled lines for each active document; lines without a value are left out."""
+    docs = c.with_states(c.active().select("doc_pk", "doc_type", "public_id", "title", "effective_date", "end_date")).join(contractor_overview(c), "doc_pk", "left")
+    head = F.concat_ws(": ", "public_id", F.coalesce("title", F.lit("(untitled)")))
+    where = F.when(F.col("doc_type") == "NCD", "national (all states)").when(F.size("states") > 0, F.array_join("states", ", "))
+    lines = {"Type": F.col("doc_type"), "Effective": F.col("effective_date").cast("string"), "Ends": F.col("end_date").cast("string"), "Contractors": F.col("line"), "Applies in": where}
+    return docs.select("doc_pk", F.concat_ws("\n", head, *[F.concat(F.lit(f"{k}: "), v) for k, v in lines.items()]).alias("content"))
