@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from policymill.functions import english
 from policymill.functions.values import lexemes
 
 FUSION_K = 60
@@ -32,10 +33,16 @@ def hits(text: Column, words: list[str]) -> Column:
     return F.size(F.filter(lexemes(text), lambda x: F.array_contains(wanted, x)))
 
 
-def keyword_topk(df: DataFrame, key: str, text: str, query: str, k: int = 50) -> DataFrame:
-    """(key, hits, rank) of the k rows with most occurrences of the query's words; ties by key; none for no words."""
-    words = sorted({w for w in "".join(c if c.isascii() and c.isalnum() else " " for c in query.lower()).split()})
-    top = df.select(key, hits(F.col(text), words).cast("bigint").alias("hits")).where("hits > 0").orderBy(F.desc("hits"), key).limit(k)
+def keyword_topk(df: DataFrame, key: str, text: str, query: str, k: int = 50, analyzer: str = "simple") -> DataFrame:
+    """(key, hits, rank) of the k rows with most occurrences of the query's words; ties by key; none for no words.
+
+    `simple` compares words as they are, `english` their stems without stop words.
+    """
+    if analyzer == "english":
+        found = english.stem_hits(F.col(text), english.query_stems(query))
+    else:
+        found = hits(F.col(text), sorted({w for w in "".join(c if c.isascii() and c.isalnum() else " " for c in query.lower()).split()})).cast("bigint")
+    top = df.select(key, found.alias("hits")).where("hits > 0").orderBy(F.desc("hits"), key).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("hits"), key)))  # k rows
 
 

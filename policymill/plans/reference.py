@@ -181,6 +181,11 @@ def keyword_topk(spark, sf_dir):
     return retrieval.keyword_topk(_scope(spark, sf_dir), "chunk_id", "content", WORDS)
 
 
+@query()
+def keyword_english(spark, sf_dir):
+    return retrieval.keyword_topk(_scope(spark, sf_dir), "chunk_id", "content", "the monitoring of patients with ventilators", analyzer="english")
+
+
 _VEC = f"SELECT chunk_id, row_number() OVER (ORDER BY dist, chunk_id) AS rank FROM (SELECT chunk_id, {_DIST.format(q=_Q768)} AS dist FROM (SELECT chunk_id, arg_max(embedding, (created_at, len(embedding)))::DOUBLE[] AS v FROM chunk_embedding WHERE model = '{MODEL}' AND len(embedding) = 768 GROUP BY 1) WHERE chunk_id IN (SELECT chunk_id FROM {_SCOPE}) AND list_inner_product(v, v) > 0) WHERE NOT isnan(dist) AND dist IS NOT NULL ORDER BY dist, chunk_id LIMIT 50"
 
 

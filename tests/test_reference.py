@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from policymill.functions import markup, values
+from policymill.functions import english, markup, values
 from policymill.operators import chunking, embedding, evaluate, retrieval, tables
 from policymill.plans import catalogue
 from policymill.sources import bulk
@@ -97,6 +97,23 @@ def test_ranking_and_metrics(spark):
     assert len(got) == 1 and abs(sum(x * x for x in got[0].embedding) - 1) < 1e-5
 
 
+def test_english_words(spark):
+    # Cases published with the algorithm.
+    for word, want in {"caresses": "caress", "ponies": "poni", "cats": "cat", "agreed": "agre", "feed": "feed", "plastered": "plaster", "motoring": "motor", "sing": "sing", "conflated": "conflat", "hopping": "hop", "falling": "fall", "filing": "file", "happy": "happi", "sky": "sky", "relational": "relat", "conditional": "condit", "vietnamization": "vietnam", "sensibiliti": "sensibl", "triplicate": "triplic", "hopefulness": "hope", "electrical": "electr", "adoption": "adopt", "replacement": "replac", "probate": "probat", "rate": "rate", "controll": "control", "roll": "roll"}.items():
+        assert english.stem(word) == want, word
+    chunks = spark.read.parquet(f"{DATA}/doc_chunk.parquet").select("chunk_id", "content").collect()
+    words = {w for r in chunks for w in english._WORD.findall((r.content or "").lower())}
+    assert all(w.startswith(english.stem(w)[:-1] if len(english.stem(w)) > 2 else w[:1]) for w in words)
+    asked = "The monitoring of patients, with ventilators"
+    stems = english.query_stems(asked)
+    assert "the" not in stems and "patient" in stems
+    want = {r.chunk_id: sum(english.stem(w) in stems for w in english._WORD.findall((r.content or "").lower())) for r in chunks}
+    df = spark.read.parquet(f"{DATA}/doc_chunk.parquet")
+    got = {r.chunk_id: r.hits for r in retrieval.keyword_topk(df, "chunk_id", "content", asked, 10**6, "english").collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    assert retrieval.keyword_topk(df, "chunk_id", "content", "the of", 5, "english").count() == 0
+
+
 def test_streaming_upsert(spark, tmp_path):
     from policymill.streaming import refresh
 
