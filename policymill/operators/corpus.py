@@ -130,11 +130,29 @@ def section_text(c: Corpus) -> DataFrame:
     return per.select("doc_pk", "section", F.size("p").cast("bigint").alias("chunks"), text.alias("text"))
 
 
-def text_page(df: DataFrame, offset: int = 0, most: int = 6000) -> DataFrame:
-    """A stretch of each section text, and where the next begins (NULL at the end); `most` is clamped to 500 .. 20000."""
-    most = max(500, min(20000, most))
-    n = F.length("text")
-    return df.select("doc_pk", "section", n.alias("total_chars"), F.substring("text", offset + 1, most).alias("text"), F.when(n > offset + most, offset + most).alias("next_offset"))
+def text_page(c: Corpus, offset: int = 0, most: int = 6000) -> DataFrame:
+    """(doc_pk, section, total_chars, text, next_offset): a stretch of each section text; `most` is clamped to 500 .. 20000.
+
+    `next_offset` is where the next page begins, NULL at the end. Only the chunks that reach into the page are brought
+    together, so a section of any length costs no more than the page.
+    """
+    offset, most = max(0, offset), max(500, min(20000, most))
+    key = ["doc_pk", "section"]
+    shown = F.when(~F.col("heading_path").eqNullSafe(F.col("__prev")) | (F.col("__first") == 0), F.col("heading_path"))
+    rows = c.read("doc_chunk").select(*key, "source_key", "chunk_index", "chunk_id", "heading_path", "content")
+    order = ["source_key", "chunk_index", "chunk_id"]
+    # The heading before each chunk says which headings show; their lengths then give the positions.
+    rows = tables.running(rows, key, order, F.lit(0), "section-headings", "heading_path").withColumnRenamed("__no", "__first")
+    rows = rows.select(*key, *order, F.concat_ws("\n", shown, F.coalesce("content", F.lit(""))).alias("__part"))
+    placed = tables.running(rows, key, order, F.length("__part") + 2, "section-parts")
+    end = F.col("__at") + F.length("__part")
+    total = placed.groupBy(*key).agg(F.max(end).cast("bigint").alias("total_chars"))
+    within = placed.where((F.col("__at") - 2 < offset + most) & (end + 2 > offset))
+    page = within.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__at", "__part"))).alias("p"))
+    joined = F.array_join(F.transform("p", lambda x: x["__part"]), "\n\n")
+    page = page.select(*key, F.substring(joined, (F.lit(offset + 1) - F.col("p")[0]["__at"]).cast("int"), F.lit(most)).alias("text"))
+    out = total.join(page, key, "left")
+    return out.select(*key, "total_chars", F.coalesce("text", F.lit("")).alias("text"), F.when(F.col("total_chars") > offset + most, F.lit(offset + most)).cast("bigint").alias("next_offset"))
 
 
 def contractor_overview(c: Corpus, names: int = 8) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from policymill.operators import tables
+
 
 def recall(expected: Column, got: Column) -> Column:
     """Share of expected ids among those got; NULL when none is expected."""
@@ -18,10 +20,8 @@ def grounded(cited: Column, retrieved: Column, asked: Column) -> Column:
 
 def evidence(df: DataFrame, group: str, order: list[str], text: str, most: int = 24_000) -> DataFrame:
     """Texts of each group in order, cut where the running length passes `most` characters."""
-    w = Window.partitionBy(group).orderBy(*order)
-    n = F.coalesce(F.length(text), F.lit(0))
-    before = F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = df.withColumn("__before", before).where(F.col("__before") < most)
+    placed = tables.running(df, [group], order, F.coalesce(F.length(text), F.lit(0)), "evidence").drop("__no")
+    cut = placed.withColumnRenamed("__at", "__before").where(F.col("__before") < most)
     return cut.withColumn(text, F.substring(F.col(text), F.lit(1), (F.lit(most) - F.col("__before")).cast("int"))).drop("__before")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policymill.functions import values
@@ -78,7 +78,8 @@ def surrogate(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
 
 
 def mark_latest(df: DataFrame, key: Sequence[str] = ("doc_type", "doc_id"), version: str = "doc_version") -> DataFrame:
-    return df.withColumn("is_latest", F.col(version) == F.max(version).over(Window.partitionBy(*key)))
+    """The rows with the greatest version of their key marked in `is_latest`."""
+    return tables.mark_greatest(df, key, version, "is_latest")
 
 
 def document_headers(df: DataFrame) -> DataFrame:

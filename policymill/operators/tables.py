@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from policymill.runtime import materialize
+
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -50,3 +52,39 @@ def drop_stale(old: DataFrame, loaded: DataFrame, key: Sequence[str], scope: str
 def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, most: int = 100) -> DataFrame:
     """One page in a total order; the limit is clamped to 1 .. `most`."""
     return df.orderBy(*order).offset(max(0, offset)).limit(max(1, min(most, limit)))
+
+
+def running(df: DataFrame, group: Sequence[str], order: Sequence[str], length: Column, label: str, carry: str | None = None) -> DataFrame:
+    """`df` with `__at`, the summed `length` of the rows before in the group, and `__no`, whether there are none (0).
+
+    With `carry` also `__prev`, that column's value in the row before. A group of any size is spread over range
+    partitions: lengths are summed within each range, then over the ranges of a group, so that no task holds a whole
+    group. `order` must be total within a group; NULL group values form a group.
+    """
+    spread = df.withColumn("__n", length.cast("bigint")).repartitionByRange(*group, *order).withColumn("__range", F.spark_partition_id())
+    ranged = materialize(spread, label)
+    ends = ranged.groupBy(*group, "__range").agg(F.sum("__n").alias("__sum"), F.max_by(carry or "__n", F.struct(*order)).alias("__end"))
+    ranges = Window.partitionBy(*group).orderBy("__range")  # ranges of a group, not its rows
+    starts = ends.select(
+        F.col("__range").alias("__r"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
+        F.coalesce(F.sum("__sum").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"), F.lag("__end").over(ranges).alias("__last"), F.row_number().over(ranges).alias("__rno"),
+    )
+    w = Window.partitionBy("__range", *group).orderBy(*order)
+    within = ranged.withColumn("__before", F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("__no", F.row_number().over(w))
+    if carry:
+        within = within.withColumn("__lag", F.lag(carry).over(w))
+    on = [F.col("__range") == F.col("__r"), *[F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)]]
+    out = within.join(starts, on).withColumn("__at", F.col("__before") + F.col("__start"))
+    prev = [F.when(F.col("__no") > 1, F.col("__lag")).otherwise(F.col("__last")).alias("__prev")] if carry else []
+    return out.select(*df.columns, "__at", (F.col("__no") + F.col("__rno") - 2).alias("__no"), *prev)
+
+
+def mark_greatest(df: DataFrame, key: Sequence[str], value: str, name: str) -> DataFrame:
+    """`df` with a flag on the rows that hold their key's greatest `value`; NULL where either is NULL.
+
+    The greatest values are found before any shuffle of rows, and a hot key is split in the join.
+    """
+    most = df.groupBy(*key).agg(F.max(value).alias("__most"))
+    most = most.select("__most", *[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)])
+    out = df.join(most, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)], "left")
+    return out.withColumn(name, F.col(value) == F.col("__most")).drop("__most", *[f"__k{i}" for i in range(len(key))])

@@ -43,10 +43,8 @@ def active_policies(spark, sf_dir):
 
 @query("SELECT doc_pk, doc_version = max(doc_version) OVER (PARTITION BY doc_type, doc_id) AS newest FROM policy_doc")
 def latest_version(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("doc_type", "doc_id")
-    return table(spark, sf_dir, "policy_doc").select("doc_pk", (F.col("doc_version") == F.max("doc_version").over(w)).alias("newest"))
+    docs = table(spark, sf_dir, "policy_doc").select("doc_pk", "doc_type", "doc_id", "doc_version")
+    return tables.mark_greatest(docs, ["doc_type", "doc_id"], "doc_version", "newest").select("doc_pk", "newest")
 
 
 @query("SELECT public_id, doc_pk FROM (SELECT public_id, doc_pk, row_number() OVER (PARTITION BY public_id ORDER BY is_latest DESC NULLS LAST, coalesce(status = 'A', false) DESC, doc_version DESC NULLS LAST, doc_pk) AS rn FROM policy_doc WHERE public_id IS NOT NULL) WHERE rn = 1")
@@ -132,9 +130,11 @@ def policy_text(spark, sf_dir):
     return corpus.section_text(Corpus(spark, sf_dir)).select("doc_pk", "section", "chunks", F.sha2("text", 256).alias("digest"))
 
 
-@query()
+@query("""WITH r AS (SELECT *, lag(heading_path) OVER w AS before, row_number() OVER w AS rn FROM doc_chunk WINDOW w AS (PARTITION BY doc_pk, section ORDER BY source_key NULLS FIRST, chunk_index NULLS FIRST, chunk_id)),
+t AS (SELECT doc_pk, section, string_agg(CASE WHEN heading_path IS NOT NULL AND (rn = 1 OR heading_path IS DISTINCT FROM before) THEN heading_path || chr(10) ELSE '' END || coalesce(content, ''), chr(10) || chr(10) ORDER BY rn) AS x FROM r GROUP BY 1, 2)
+SELECT doc_pk, section, length(x) AS total_chars, substring(x, 501, 1000) AS text, CASE WHEN length(x) > 1500 THEN 1500 END AS next_offset FROM t""")
 def policy_text_page(spark, sf_dir):
-    return corpus.text_page(corpus.section_text(Corpus(spark, sf_dir)), 500, 1000)
+    return corpus.text_page(Corpus(spark, sf_dir), 500, 1000)
 
 
 @query(f"""WITH n AS (SELECT DISTINCT pc.doc_pk, contractor_bus_name AS n FROM policy_contractor pc JOIN {_CONTRACTORS} c USING (contractor_id, contractor_type_id, contractor_version) WHERE pc.doc_pk IN (SELECT doc_pk FROM {_ACTIVE}) AND contractor_bus_name IS NOT NULL),

@@ -5,7 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from policymill.operators import chunking, loaders
+from policymill.operators import chunking, loaders, tables
+
 
 def spec():
     return loaders.Spec(
@@ -70,3 +71,26 @@ def test_fixed_windows(spark):
     assert set(got) == {2, 3, 4, 5}
     for k, parts in got.items():
         assert parts[0] + "".join(p[3:] for p in parts[1:]) == texts[k] and all(len(p) <= 10 for p in parts)
+
+
+def test_running(spark):
+    rnd = random.Random(9)
+    rows = [(g, i, None if rnd.random() < 0.2 else rnd.choice("ab"), rnd.randint(0, 9)) for g, n in ((None, 30), (1, 700), (2, 1)) for i in range(n)]
+    want: dict = {}
+    for g, i, h, n in rows:
+        before = want.setdefault(g, [])
+        last = before[-1] if before else None
+        before.append((last[0] + last[3] if last else 0, last[2] if last else None, h, n))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, i int, h string, n int").repartition(5)
+    got = {(r.g, r.i): (r["__at"], r["__prev"], r["__no"] == 0) for r in tables.running(df, ["g"], ["i"], F.col("n"), "t", "h").collect()}
+    assert got == {(g, i): (x[0], x[1], i == 0) for g, xs in want.items() for i, x in enumerate(xs)}
+    assert tables.running(df.limit(0), ["g"], ["i"], F.col("n"), "t").count() == 0
+
+
+def test_mark_greatest(spark):
+    rows = [(1, "a", 1), (2, "a", 3), (3, "a", 3), (4, None, 2), (5, None, None), (6, "b", None)]
+    df = spark.createDataFrame([(*r, "extra", "extra") for r in rows], "i int, k string, v int, most string, k0 string")
+    got = {r.i: r.top for r in tables.mark_greatest(df, ["k"], "v", "top").collect()}
+    assert got == {1: False, 2: True, 3: True, 4: True, 5: None, 6: None}
+    assert tables.mark_greatest(df.limit(0), ["k"], "v", "top").count() == 0
