@@ -155,18 +155,19 @@ def text_page(c: Corpus, offset: int = 0, most: int = 6000) -> DataFrame:
     return out.select(*key, "total_chars", F.coalesce("text", F.lit("")).alias("text"), F.when(F.col("total_chars") > offset + most, F.lit(offset + most)).cast("bigint").alias("next_offset"))
 
 
-def contractor_overview(c: Corpus, names: int = 8) -> DataFrame:
-    """Contractors of each active document in one line: the first names, then how many more."""
+def contractor_overview(c: Corpus, names: int = 8, docs: DataFrame | None = None) -> DataFrame:
+    """Contractors of each of `docs` (default: active ones) in one line: the first names, then how many more."""
     held = c.read("policy_contractor").select("doc_pk", *CONTRACTOR_KEY).distinct().join(c.contractors().select(*CONTRACTOR_KEY, "contractor_bus_name"), CONTRACTOR_KEY)
-    held = held.join(c.active().select("doc_pk"), "doc_pk", "left_semi")
+    held = held.join((docs if docs is not None else c.active()).select("doc_pk"), "doc_pk", "left_semi")
     per = held.groupBy("doc_pk").agg(F.array_sort(F.collect_set("contractor_bus_name")).alias("n"))
     more = F.when(F.size("n") > names, F.concat(F.lit("; +"), (F.size("n") - names).cast("string"), F.lit(" more"))).otherwise("")
     return per.where(F.size("n") > 0).select("doc_pk", F.concat(F.array_join(F.slice("n", 1, names), "; "), more).alias("line"))
 
 
-def overview(c: Corpus) -> DataFrame:
-    """(doc_pk, content): one text of labelled lines for each active document; lines without a value are left out."""
-    docs = c.with_states(c.active().select("doc_pk", "doc_type", "public_id", "title", "effective_date", "end_date")).join(contractor_overview(c), "doc_pk", "left")
+def overview(c: Corpus, docs: DataFrame | None = None) -> DataFrame:
+    """(doc_pk, content): one text of labelled lines for each of `docs` (default: active ones); lines without a value are left out."""
+    docs = docs if docs is not None else c.active()
+    docs = c.with_states(docs.select("doc_pk", "doc_type", "public_id", "title", "effective_date", "end_date")).join(contractor_overview(c, docs=docs), "doc_pk", "left")
     head = F.concat_ws(": ", "public_id", F.coalesce("title", F.lit("(untitled)")))
     where = F.when(F.col("doc_type") == "NCD", "national (all states)").when(F.size("states") > 0, F.array_join("states", ", "))
     lines = {"Type": F.col("doc_type"), "Effective": F.col("effective_date").cast("string"), "Ends": F.col("end_date").cast("string"), "Contractors": F.col("line"), "Applies in": where}

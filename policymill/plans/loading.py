@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from policymill.functions import values
-from policymill.operators import chunking, corpus, loaders, relations, tables
+from policymill.operators import assembly, chunking, corpus, loaders, relations, tables
 from policymill.operators.corpus import CONTRACTOR_KEY, Corpus
 from policymill.plans.reference import _ACTIVE, _CODES, _CONTRACTORS, _DOC_STATES, _STATES, AS_OF, ORACLE, QUERIES, query
 from policymill.runtime import table
@@ -146,3 +146,27 @@ def code_chunks(spark, sf_dir):
 @query("SELECT doc_id, CAST(i AS integer) AS chunk_index, sha256(substring(text, CAST(i * 900 + 1 AS bigint), 1000)) AS digest FROM (SELECT doc_id, text, unnest(range(greatest(1, CAST(ceil((length(text) - 100) / 900) AS bigint)))) AS i FROM documents WHERE length(text) > 0)")
 def chunk_fixed(spark, sf_dir):
     return chunking.fixed_windows(table(spark, sf_dir, "documents"), ["doc_id"], "text", 1000, 100).select("doc_id", "chunk_index", F.sha2("content", 256).alias("digest"))
+
+
+_BASE = "concat_ws(': ', d.public_id, coalesce(d.title, '(untitled)'))"
+_SOLID = r"length(regexp_replace({0}, '^\s+|\s+$', '', 'g')) >= 25"
+_TOLD = " UNION ALL ".join(f"SELECT doc_pk, '{n}' AS section, 'lcd' AS source_table, '' AS source_key, '{v}' AS label FROM lcd WHERE {_SOLID.format(n)}" for n, v in assembly.SECTION_LABELS.items())
+_NAMED = "CASE " + " ".join(f"WHEN s = '{s}' AND r = '{r}' THEN '{v}'" for (s, r), v in assembly.CODE_LABELS.items()) + " ELSE s || ' Codes' END"
+
+
+@query(f"""WITH k AS (SELECT DISTINCT doc_pk, coalesce(code_system, 'other') AS s, coalesce(role, 'listed') AS r, coalesce(group_no, 0) AS g FROM {_CODES}),
+p AS (SELECT doc_pk, 'overview' AS section, 'policy_doc' AS source_table, '' AS source_key, 'Overview' AS label FROM policy_doc UNION ALL {_TOLD} UNION ALL
+SELECT doc_pk, lower(s || '_' || r) || '_codes', 'policy_code', 'group=' || g, {_NAMED} || CASE WHEN g <> 0 THEN ' > Group ' || g ELSE '' END FROM k)
+SELECT p.doc_pk, section, source_table, source_key, {_BASE} || ' > ' || label AS heading FROM p JOIN policy_doc d USING (doc_pk) WHERE d.status = 'A' AND NOT d.is_draft AND d.is_latest""")
+def chunk_sections(spark, sf_dir):
+    """The sections that are chunked, with the path that all their chunks share."""
+    chunks = assembly.build_chunks(Corpus(spark, sf_dir)).where("chunk_index = 0")
+    label = F.create_map(*[F.lit(x) for kv in assembly.SECTION_LABELS.items() for x in kv])[F.col("section")]
+    told = F.concat(F.split_part(F.col("heading_path"), F.concat(F.lit(" > "), label), F.lit(1)), F.lit(" > "), label)
+    return chunks.select("doc_pk", "section", "source_table", "source_key", F.when(F.col("source_table") == "lcd", told).otherwise(F.col("heading_path")).alias("heading"))
+
+
+@query()
+def build_chunks(spark, sf_dir):
+    """Every chunk of the selected documents, keyed and hashed for `chunking.diff`."""
+    return assembly.build_chunks(Corpus(spark, sf_dir))
