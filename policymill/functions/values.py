@@ -10,6 +10,7 @@ STAMP_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d", "M/d/yyyy H:m:s", "M/d/yyyy", "M/
 TRUE_WORDS = ("1", "-1", "true", "t", "y", "yes")
 FALSE_WORDS = ("0", "false", "f", "n", "no")
 CODE_LABELS = {"B": " (start of range)", "E": " (end of range)"}
+LEAKED = r"<\|[^|>\n]*\|>|【|】|\bto=functions\."  # fixed value: marks of chat templates and raw tool calls
 STATUS_LABELS = {"A": "active", "R": "retired", "P": "proposed"}
 
 
@@ -76,6 +77,11 @@ def mentioned_ids(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(docs, ncd)))
 
 
+def leaked_markup(c: Column) -> Column:
+    """Distinct marks that a text should not show, sorted; none for NULL."""
+    return F.coalesce(F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(LEAKED), F.lit(0)))), F.array().cast("array<string>"))
+
+
 def code_candidates(code: str, system: str | None = None) -> list[str]:
     """A code as written, and with the dot of a diagnosis code."""
     c = code.strip().upper()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from policymill.functions import values
-from policymill.operators import chunking, corpus
+from policymill.operators import chunking, corpus, relations
 from policymill.operators.chunking import Sizes
 from policymill.operators.corpus import Corpus
 from policymill.operators.tables import union_all
@@ -97,7 +97,7 @@ def build_chunks(c: Corpus, plan: Plan = Plan()) -> DataFrame:
     """
     chosen = selected(c, plan)
     docs = chosen.select("doc_pk", F.concat_ws(": ", "public_id", F.coalesce("title", F.lit("(untitled)"))).alias("base"))
-    over = corpus.overview(c, chosen).join(docs, "doc_pk")
+    over = corpus.overview(c, chosen, relations.related_line(c, chosen)).join(docs, "doc_pk")
     over = over.select("doc_pk", F.lit("overview").alias("section"), F.lit("policy_doc").alias("source_table"), F.lit("").alias("source_key"), F.lit(0).alias("chunk_index"), F.concat_ws(" > ", "base", F.lit("Overview")).alias("heading_path"), "content")
     labels = {n: v for n, v in SECTION_LABELS.items() if n not in plan.left_out}
     texts = sections(c.read("lcd"), "doc_pk", labels).join(docs, "doc_pk")

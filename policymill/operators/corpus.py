@@ -155,20 +155,31 @@ def text_page(c: Corpus, offset: int = 0, most: int = 6000) -> DataFrame:
     return out.select(*key, "total_chars", F.coalesce("text", F.lit("")).alias("text"), F.when(F.col("total_chars") > offset + most, F.lit(offset + most)).cast("bigint").alias("next_offset"))
 
 
-def contractor_overview(c: Corpus, names: int = 8, docs: DataFrame | None = None) -> DataFrame:
-    """Contractors of each of `docs` (default: active ones) in one line: the first names, then how many more."""
-    held = c.read("policy_contractor").select("doc_pk", *CONTRACTOR_KEY).distinct().join(c.contractors().select(*CONTRACTOR_KEY, "contractor_bus_name"), CONTRACTOR_KEY)
+def contractor_overview(c: Corpus, names: int = 8, numbers: int = 4, docs: DataFrame | None = None) -> DataFrame:
+    """Contractors of each of `docs` (default: active ones) in one line: the first names with their first numbers, then how many more names."""
+    held = c.read("policy_contractor").select("doc_pk", *CONTRACTOR_KEY).distinct().join(c.contractors().select(*CONTRACTOR_KEY, "contractor_bus_name", "contractor_number"), CONTRACTOR_KEY)
     held = held.join((docs if docs is not None else c.active()).select("doc_pk"), "doc_pk", "left_semi")
-    per = held.groupBy("doc_pk").agg(F.array_sort(F.collect_set("contractor_bus_name")).alias("n"))
+    named = held.where("contractor_bus_name is not null").groupBy("doc_pk", "contractor_bus_name").agg(F.array_sort(F.collect_set(F.coalesce("contractor_number", F.lit("?")))).alias("no"))
+    item = F.concat("contractor_bus_name", F.lit(" ("), F.array_join(F.slice("no", 1, numbers), ", "), F.when(F.size("no") > numbers, "...").otherwise(""), F.lit(")"))
+    per = named.groupBy("doc_pk").agg(F.array_sort(F.collect_set(item)).alias("n"))
     more = F.when(F.size("n") > names, F.concat(F.lit("; +"), (F.size("n") - names).cast("string"), F.lit(" more"))).otherwise("")
     return per.where(F.size("n") > 0).select("doc_pk", F.concat(F.array_join(F.slice("n", 1, names), "; "), more).alias("line"))
 
 
-def overview(c: Corpus, docs: DataFrame | None = None) -> DataFrame:
-    """(doc_pk, content): one text of labelled lines for each of `docs` (default: active ones); lines without a value are left out."""
+def overview(c: Corpus, docs: DataFrame | None = None, related: DataFrame | None = None) -> DataFrame:
+    """(doc_pk, content): one text of labelled lines for each of `docs` (default: active ones); lines without a value are left out.
+
+    `related` (doc_pk, related) names the documents that each one refers to.
+    """
     docs = docs if docs is not None else c.active()
-    docs = c.with_states(docs.select("doc_pk", "doc_type", "public_id", "title", "effective_date", "end_date")).join(contractor_overview(c, docs=docs), "doc_pk", "left")
-    head = F.concat_ws(": ", "public_id", F.coalesce("title", F.lit("(untitled)")))
+    head = docs.select("doc_pk", "doc_type", "public_id", "title", "status", "is_draft", "effective_date", "end_date")
+    full = c.with_states(head).join(contractor_overview(c, docs=docs), "doc_pk", "left")
+    full = full.join(related, "doc_pk", "left") if related is not None else full.withColumn("related", F.lit(None).cast("string"))
+    first = F.concat_ws(": ", "public_id", F.coalesce("title", F.lit("(untitled)")))
     where = F.when(F.col("doc_type") == "NCD", "national (all states)").when(F.size("states") > 0, F.array_join("states", ", "))
-    lines = {"Type": F.col("doc_type"), "Effective": F.col("effective_date").cast("string"), "Ends": F.col("end_date").cast("string"), "Contractors": F.col("line"), "Applies in": where}
-    return docs.select("doc_pk", F.concat_ws("\n", head, *[F.concat(F.lit(f"{k}: "), v) for k, v in lines.items()]).alias("content"))
+    status = F.when(F.col("is_draft"), "draft").otherwise(values.label(F.col("status"), values.STATUS_LABELS))
+    lines = {
+        "Type": F.col("doc_type"), "Status": status, "Effective": F.col("effective_date").cast("string"), "Ends": F.col("end_date").cast("string"),
+        "Contractors": F.col("line"), "Applies in": where, "Related": F.col("related"),
+    }
+    return full.select("doc_pk", F.concat_ws("\n", first, *[F.concat(F.lit(f"{k}: "), v) for k, v in lines.items()]).alias("content"))

@@ -50,3 +50,12 @@ def active_pairs(c: Corpus, e: DataFrame, from_type: str, to_type: str) -> DataF
     a = c.active()
     ends = _targets(a.where(F.col("doc_type") == to_type))
     return e.where(F.col("to_type") == to_type).join(a.where(F.col("doc_type") == from_type).select("doc_pk"), "doc_pk", "left_semi").join(ends, ["to_type", "to_id"]).select(F.col("doc_pk").alias("from_pk"), "to_pk")
+
+
+def related_line(c: Corpus, docs: DataFrame, most: int = 15) -> DataFrame:
+    """(doc_pk, related): the first `most` documents that each of `docs` refers to, by name; those that are missing by type and number."""
+    own = edges(c).join(docs.select("doc_pk"), "doc_pk", "left_semi")
+    latest = c.read("policy_doc").where("is_latest").select(F.col("doc_type").alias("to_type"), F.col("doc_id").alias("to_id"), "public_id", "title")
+    name = F.coalesce("public_id", F.concat_ws(" ", "to_type", F.col("to_id").cast("string")))
+    each = own.join(latest, ["to_type", "to_id"], "left").select("doc_pk", F.concat(name, F.coalesce(F.concat(F.lit(" ("), "title", F.lit(")")), F.lit(""))).alias("n"))
+    return each.groupBy("doc_pk").agg(F.array_join(F.slice(F.array_sort(F.collect_set("n")), 1, most), "; ").alias("related"))

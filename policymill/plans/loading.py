@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from policymill.functions import values
 from policymill.operators import assembly, chunking, corpus, loaders, relations, tables
 from policymill.operators.corpus import CONTRACTOR_KEY, Corpus
-from policymill.plans.reference import _ACTIVE, _CODES, _CONTRACTORS, _DOC_STATES, _STATES, AS_OF, ORACLE, QUERIES, query
+from policymill.plans.reference import _ACTIVE, _CODES, _CONTRACTORS, _DOC_STATES, _NAMES, _STATES, AS_OF, ORACLE, QUERIES, query
 from policymill.runtime import table
 
 _LAST = "(SELECT * FROM policy_doc_snapshot WHERE snapshot_date = (SELECT max(snapshot_date) FROM policy_doc_snapshot))"
@@ -121,13 +121,15 @@ def lcd_articles(spark, sf_dir):
     return relations.active_pairs(c, relations.edges(c), "LCD", "ART")
 
 
-@query(f"""WITH n AS (SELECT DISTINCT pc.doc_pk, contractor_bus_name AS n FROM policy_contractor pc JOIN {_CONTRACTORS} c USING (contractor_id, contractor_type_id, contractor_version) WHERE contractor_bus_name IS NOT NULL),
-l AS (SELECT doc_pk, list(n ORDER BY n) AS a FROM n GROUP BY 1), s AS (SELECT doc_pk, string_agg(state_abbrev, ', ' ORDER BY state_abbrev) AS states FROM {_DOC_STATES} GROUP BY 1)
-SELECT doc_pk, concat_ws(chr(10), concat_ws(': ', public_id, coalesce(title, '(untitled)')), 'Type: ' || doc_type, 'Effective: ' || CAST(effective_date AS varchar), 'Ends: ' || CAST(end_date AS varchar),
-'Contractors: ' || array_to_string(a[1:8], '; ') || CASE WHEN len(a) > 8 THEN '; +' || (len(a) - 8) || ' more' ELSE '' END, 'Applies in: ' || CASE WHEN doc_type = 'NCD' THEN 'national (all states)' ELSE states END) AS content
-FROM {_ACTIVE} LEFT JOIN l USING (doc_pk) LEFT JOIN s USING (doc_pk)""")
+@query(f"""WITH {_NAMES}, l AS (SELECT doc_pk, list(n ORDER BY n) AS a FROM n GROUP BY 1), s AS (SELECT doc_pk, string_agg(state_abbrev, ', ' ORDER BY state_abbrev) AS states FROM {_DOC_STATES} GROUP BY 1),
+r AS (SELECT DISTINCT e.doc_pk, coalesce(d.public_id, e.to_type || ' ' || e.to_id) || coalesce(' (' || d.title || ')', '') AS n FROM {_EDGES} e LEFT JOIN (SELECT * FROM policy_doc WHERE is_latest) d ON d.doc_type = e.to_type AND d.doc_id = e.to_id),
+t AS (SELECT doc_pk, array_to_string(list(n ORDER BY n)[1:15], '; ') AS related FROM r GROUP BY 1)
+SELECT doc_pk, concat_ws(chr(10), concat_ws(': ', public_id, coalesce(title, '(untitled)')), 'Type: ' || doc_type, 'Status: active', 'Effective: ' || CAST(effective_date AS varchar), 'Ends: ' || CAST(end_date AS varchar),
+'Contractors: ' || array_to_string(a[1:8], '; ') || CASE WHEN len(a) > 8 THEN '; +' || (len(a) - 8) || ' more' ELSE '' END, 'Applies in: ' || CASE WHEN doc_type = 'NCD' THEN 'national (all states)' ELSE states END, 'Related: ' || related) AS content
+FROM {_ACTIVE} LEFT JOIN l USING (doc_pk) LEFT JOIN s USING (doc_pk) LEFT JOIN t USING (doc_pk)""")
 def overview_text(spark, sf_dir):
-    return corpus.overview(Corpus(spark, sf_dir, AS_OF))
+    c = Corpus(spark, sf_dir, AS_OF)
+    return corpus.overview(c, related=relations.related_line(c, c.active()))
 
 
 _LINE = "concat_ws(' - ', code, coalesce(description, short_description)) || CASE range_pos WHEN 'B' THEN ' (start of range)' WHEN 'E' THEN ' (end of range)' ELSE '' END"
@@ -170,3 +172,10 @@ def chunk_sections(spark, sf_dir):
 def build_chunks(spark, sf_dir):
     """Every chunk of the selected documents, keyed and hashed for `chunking.diff`."""
     return assembly.build_chunks(Corpus(spark, sf_dir))
+
+
+@query(r"SELECT doc_id, array_to_string(list_sort(list_distinct(x)), ' ') AS marks FROM (SELECT doc_id, regexp_extract_all(text, '<\|[^|>\n]*\|>|【|】|\bto=functions\.') AS x FROM documents) WHERE len(x) > 0")
+def leaked_markup(spark, sf_dir):
+    """Documents in which marks of a chat template or of a raw tool call are left."""
+    marks = values.leaked_markup(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", marks.alias("x")).where(F.size("x") > 0).select("doc_id", F.array_join("x", " ").alias("marks"))

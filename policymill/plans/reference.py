@@ -35,6 +35,9 @@ _CONTRACTORS = f"(SELECT c.* EXCLUDE (state_id), s.state_id FROM (SELECT * FROM
 _CODES = "(SELECT * FROM policy_code WHERE code <> '' QUALIFY row_number() OVER (PARTITION BY doc_pk, code_system, role, code, coalesce(code_version, 0), coalesce(group_no, 0), coalesce(range_pos, '-') ORDER BY code_pk) = 1)"
 _DOC_STATES = f"(SELECT DISTINCT pc.doc_pk, s.state_abbrev FROM policy_contractor pc JOIN {_CONTRACTORS} c USING (contractor_id, contractor_type_id, contractor_version) JOIN {_STATES} s ON s.state_id = c.state_id WHERE s.state_abbrev IS NOT NULL)"
 
+_NAMES = f"""m AS (SELECT DISTINCT pc.doc_pk, contractor_bus_name AS b, coalesce(contractor_number, '?') AS no FROM policy_contractor pc JOIN {_CONTRACTORS} c USING (contractor_id, contractor_type_id, contractor_version) WHERE contractor_bus_name IS NOT NULL),
+n AS (SELECT doc_pk, b || ' (' || array_to_string(list(no ORDER BY no)[1:4], ', ') || CASE WHEN count(*) > 4 THEN '...' ELSE '' END || ')' AS n FROM m GROUP BY doc_pk, b)"""
+
 
 @query(f"SELECT doc_pk, public_id, doc_type FROM {_ACTIVE}")
 def active_policies(spark, sf_dir):
@@ -137,8 +140,7 @@ def policy_text_page(spark, sf_dir):
     return corpus.text_page(Corpus(spark, sf_dir), 500, 1000)
 
 
-@query(f"""WITH n AS (SELECT DISTINCT pc.doc_pk, contractor_bus_name AS n FROM policy_contractor pc JOIN {_CONTRACTORS} c USING (contractor_id, contractor_type_id, contractor_version) WHERE pc.doc_pk IN (SELECT doc_pk FROM {_ACTIVE}) AND contractor_bus_name IS NOT NULL),
-l AS (SELECT doc_pk, list(n ORDER BY n) AS a FROM n GROUP BY 1) SELECT doc_pk, array_to_string(a[1:8], '; ') || CASE WHEN len(a) > 8 THEN '; +' || (len(a) - 8) || ' more' ELSE '' END AS line FROM l""")
+@query(f"""WITH {_NAMES}, l AS (SELECT doc_pk, list(n ORDER BY n) AS a FROM n GROUP BY 1) SELECT doc_pk, array_to_string(a[1:8], '; ') || CASE WHEN len(a) > 8 THEN '; +' || (len(a) - 8) || ' more' ELSE '' END AS line FROM l WHERE doc_pk IN (SELECT doc_pk FROM {_ACTIVE})""")
 def contractor_overview(spark, sf_dir):
     return corpus.contractor_overview(Corpus(spark, sf_dir, AS_OF))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from policymill.operators import assembly, chunking
+from policymill.operators import assembly, chunking, evaluate
 from policymill.operators.chunking import Sizes
 from policymill.operators.corpus import Corpus
 
@@ -51,3 +51,21 @@ def test_build_chunks(spark):
     assert {r.action for r in chunking.diff(every, every).select("action").distinct().collect()} == {"unchanged"}
     none = assembly.build_chunks(c, assembly.Plan(doc_types=("NONE",)))
     assert none.count() == 0
+
+
+def test_scores(spark):
+    items = [(1, "Is L12345 active?", ["L12345", "NCD 240.4"], ["lookup"], "TX", "Texas"), (2, "q", [], ["search"], None, None), (3, None, None, None, "", None), (4, "no run", ["L1"], [], None, None)]
+    runs = [
+        (1, "See l12345 and A99999.", ["NCD 240.4 says"], [("lookup", " texas ")], None, 2.0), (2, "<|end|>", None, None, "failed", 1.0),
+        (3, None, [], [], None, None), (9, "no item", [], [], None, 1.0),
+    ]
+    i = spark.createDataFrame(items, "item_id int, question string, public_ids array<string>, tools array<string>, state string, state_name string")
+    r = spark.createDataFrame(runs, "item_id int, answer string, tool_results array<string>, tool_calls array<struct<name:string,state:string>>, error string, latency_s double")
+    got = {(x.item_id, x.metric): x.value for x in evaluate.scores(i, r).collect()}
+    common = {"completed", "answered", "clean_output", "tool_selection"}
+    assert {k: v for k, v in got.items() if k[0] == 1} == {(1, k): v for k, v in {
+        "citation_recall": 0.5, "retrieval_recall": 0.5, "citation_grounded": 0.5, "tool_selection": 1, "state_filter": 1, "completed": 1, "answered": 1, "clean_output": 1, "latency_s": 2, "tool_calls": 1,
+    }.items()}
+    assert {k: v for k, v in got.items() if k[0] == 2} == {(2, k): float(k == "answered") for k in common}
+    assert {k[1] for k in got if k[0] == 3} == common | {"tool_calls"} and got[3, "answered"] == 0 and got[3, "clean_output"] == 1
+    assert {k[0] for k in got} == {1, 2, 3} and evaluate.scores(i.limit(0), r).count() == 0
