@@ -27,7 +27,7 @@ from policymill.runtime import materialize
 WORD = re.compile(r"[^\W\d_]+(?:[-'][^\W\d_]+)*")
 MARKUP = re.compile(r"<[^<>\s]{1,200}>|&(?:#\d+|#x[0-9a-f]+|[a-z]{2,8});")
 END = re.compile(r"[.!?][\"'”’»)]*$")
-FOLDS = 5  # rounds in which the topic proportions of a document are fitted
+FOLDS = 20  # rounds in which the topic proportions of a document are fitted
 NO_END = {"e.g.", "(e.g.", "i.e.", "(i.e.", "no."}  # abbreviations before which no sentence ends
 LIST = re.compile(r"(?:[-*•]|\d{1,3}[.)])$")
 
@@ -166,6 +166,14 @@ def name_topics(phi: np.ndarray, pairs: np.ndarray, labelled: np.ndarray, s: Set
     return out
 
 
+def proportions(p: np.ndarray, rounds: int | None = None) -> np.ndarray:
+    """Topic proportions of a document, up to scale; p: its words x topics."""
+    theta = np.full(p.shape[1], 1 / p.shape[1], np.float32)
+    for _ in range(FOLDS if rounds is None else rounds):
+        theta = theta * ((1 / (p @ theta + 1e-20)) @ p) + 0.01  # scale plays no part
+    return theta
+
+
 def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int], s: Settings) -> DataFrame:
     shipped = rows.sparkSession.sparkContext.broadcast((phi, subject))  # terms x topics, both bounded by the settings
 
@@ -173,7 +181,6 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
         phi, subject = shipped.value
         of = np.zeros((phi.shape[1], len(ids)), np.float32)
         of[np.flatnonzero(subject >= 0), subject[subject >= 0]] = 1
-        even = np.full(phi.shape[1], 1 / phi.shape[1], np.float32)
         for batch in batches:
             keys, found, shares = [], [], []
             for k, n, sents in zip(batch.column("k").to_pylist(), batch.column("n").to_pylist(), batch.column("sents").to_pylist()):
@@ -181,10 +188,7 @@ def _assign(rows: DataFrame, phi: np.ndarray, subject: np.ndarray, ids: list[int
                     continue
                 flat = [w for x in sents for w in x]
                 p = phi[flat]
-                theta = even
-                for _ in range(FOLDS):
-                    theta = theta * ((1 / (p @ theta + 1e-20)) @ p) + 0.01  # scale plays no part
-                p *= theta
+                p *= proportions(p)
                 got = (p @ of) / (p.sum(1, keepdims=True) + 1e-20)
                 starts = [0, *accumulate(map(len, sents[:-1]))]
                 score = np.add.reduceat(got, starts, axis=0)

@@ -185,3 +185,9 @@ def test_subjects(spark):
     assert not {1000, 1001, 1002} & set(got)
     assert subjects.subjects(df, labels.limit(0), settings=settings).count() == 0
     assert subjects.subjects(df.limit(0), labels, settings=settings).count() == 0
+
+
+def test_topic_proportions_are_near_their_limit():
+    p = np.repeat(np.array([[0.5, 0.3], [0.3, 0.5]], np.float32), [60, 20], axis=0)  # topics that share their words
+    theta, end = subjects.proportions(p), subjects.proportions(p, 1000)
+    assert abs(theta / theta.sum() - end / end.sum()).max() < 0.05
