@@ -279,7 +279,7 @@ def mentioned_ids(spark, sf_dir):
 SELECT doc_pk, max(CASE WHEN list_contains(ids, public_id) THEN 1.0::DOUBLE ELSE 0.0 END) AS recall FROM r GROUP BY 1""")
 def citation_recall(spark, sf_dir):
     c = table(spark, sf_dir, "doc_chunk").join(table(spark, sf_dir, "policy_doc").where("public_id is not null").select("doc_pk", "public_id"), "doc_pk")
-    cited = F.regexp_extract_all(F.concat_ws(" ", "heading_path", "content"), F.lit(r"\b([LA]\d{5})\b"), F.lit(1))
+    cited = values.mentioned_ids(F.concat_ws(" ", "heading_path", "content"))
     return c.groupBy("doc_pk").agg(F.max(evaluate.recall(F.array("public_id"), cited)).alias("recall"))
 
 

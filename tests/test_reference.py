@@ -125,3 +125,11 @@ def test_streaming_upsert(spark, tmp_path):
         refresh.upsert_stream(spark, landing, spark.createDataFrame([], schema).schema, target, ["k"], ["at"], check).awaitTermination()
     got = {(r.k, r.v) for r in spark.read.parquet(f"{target}/1").collect()}
     assert got == {(1, "c"), (2, "x"), (3, "z")}
+
+
+def test_citation_recall_of_every_kind_of_id(spark, tmp_path):
+    spark.createDataFrame([(1, "L12345"), (2, "NCD 20.4"), (3, "A54321"), (4, "NCD 9"), (5, None)], "doc_pk bigint, public_id string").write.parquet(f"{tmp_path}/policy_doc.parquet")
+    chunks = [(1, None, "see l12345."), (2, "NCD 20.4 > Uses", None), (3, None, "A5432"), (4, "NCD 9.1", "NCD 99"), (5, "L12345", "")]
+    spark.createDataFrame(chunks, "doc_pk bigint, heading_path string, content string").write.parquet(f"{tmp_path}/doc_chunk.parquet")
+    got = {r.doc_pk: r.recall for r in catalogue.QUERIES["citation_recall"](spark, str(tmp_path)).collect()}
+    assert got == {1: 1.0, 2: 1.0, 3: 0.0, 4: 0.0}
