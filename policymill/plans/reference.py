@@ -266,8 +266,7 @@ def values_parse_date(spark, sf_dir):
 
 @query("SELECT code_pk, CAST(trunc(try_cast(code AS double)) AS bigint) AS n, CASE WHEN lower(range_pos) IN ('1','-1','true','t','y','yes') THEN true WHEN lower(range_pos) IN ('0','false','f','n','no') THEN false END AS flag, left(trim(description), 1) AS initial FROM policy_code WHERE NOT coalesce(abs(try_cast(code AS double)) > 2147483647, false) AND NOT contains(code, 'E')")
 def values_parse(spark, sf_dir):
-    rows = table(spark, sf_dir, "policy_code").where("not coalesce(abs(try_cast(code as double)) > 2147483647, false) and not contains(code, 'E')")
-    return rows.select("code_pk", values.whole(F.col("code")).cast("bigint").alias("n"), values.flag(F.col("range_pos")).alias("flag"), values.first_char(F.col("description")).alias("initial"))
+    return table(spark, sf_dir, "policy_code").select("code_pk", values.whole(F.col("code")).cast("bigint").alias("n"), values.flag(F.col("range_pos")).alias("flag"), values.first_char(F.col("description")).alias("initial"))
 
 
 @query(r"""SELECT chunk_id, array_to_string(list_sort(list_distinct(list_concat(list_transform(regexp_extract_all(heading_path, '(?i)\b([LA]\d{5})\b', 1), lambda x: upper(x)), list_transform(regexp_extract_all(heading_path, '(?i)\bNCD\s*(\d+(?:\.\d+)*)', 1), lambda x: 'NCD ' || x)))), ',') AS ids FROM doc_chunk WHERE heading_path IS NOT NULL""")

@@ -133,3 +133,10 @@ def test_citation_recall_of_every_kind_of_id(spark, tmp_path):
     spark.createDataFrame(chunks, "doc_pk bigint, heading_path string, content string").write.parquet(f"{tmp_path}/doc_chunk.parquet")
     got = {r.doc_pk: r.recall for r in catalogue.QUERIES["citation_recall"](spark, str(tmp_path)).collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 0.0, 4: 0.0}
+
+
+def test_values_of_every_code(spark, tmp_path):
+    codes = [(1, "12.9", "1", " ab"), (2, "1E2", "no", "x"), (3, "E11.9", "Y", None), (4, "99999999999", "0", "big"), (5, None, "t", "none"), (6, "-1e400", None, "")]
+    spark.createDataFrame(codes, "code_pk bigint, code string, range_pos string, description string").write.parquet(f"{tmp_path}/policy_code.parquet")
+    got = {r.code_pk: (r.n, r.flag, r.initial) for r in catalogue.QUERIES["values_parse"](spark, str(tmp_path)).collect()}
+    assert got == {1: (12, True, "a"), 2: (100, False, "x"), 3: (None, True, None), 4: (None, False, "b"), 5: (None, True, "n"), 6: (None, None, None)}
