@@ -4,8 +4,9 @@ Each vector is projected on single directions (pivots: sampled vectors, so that
 indexed in the sorted arrays of the projections on which it stands out most. A query opens a window around its own
 value in each of its arrays and widens it by doubling radii (virtual rehashing); vectors that collide with it in
 enough arrays are verified with their true similarity. Projections shrink distances, so a window of radius r has all
-of the array within r, and a query stops widening once its k-th distance is within the radius. Queries in lonely
-areas, whose windows bring nothing near, widen to all rows, read in blocks.
+of the array within r, and a query stops widening once its k-th distance is within the radius. A window is first
+opened in the blocks around a query; where its k-th distance reaches beyond them, it goes on to all further blocks of
+the array within that distance. Queries in lonely areas, whose windows bring nothing near, widen to all rows, read in blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ ARRAYS = 6  # sorted arrays a vector is indexed in
 COLLISIONS = 2
 BLOCK = 4096  # rows of an array compared together, with as many on either side
 TILE = 256
+SPREAD = 4  # home blocks whose queries are compared with a further block in one group
 LONELY = 0.45  # a k-th similarity below this widens the query to all rows
 _MASK_WORDS = 4
 
@@ -106,6 +108,23 @@ def _search_block(t: pa.Table, dim: int, k: int) -> pa.Table:
     return pa.concat_tables(parts) if parts else empty
 
 
+def _search_further(t: pa.Table, dim: int, k: int) -> pa.Table:
+    """Neighbours of the queries sent to a block among its rows."""
+    own = t.column("own").to_numpy()
+    ids = t.column("id").to_numpy()
+    masks = np.stack([t.column(f"m{i}").to_numpy().view(np.uint64) for i in range(_MASK_WORDS)])
+    unit = unit_rows(t.column("vec").combine_chunks(), dim)
+    asked, held = np.flatnonzero(~own), np.flatnonzero(own)
+    parts = [_emit(np.zeros(0, np.int64), ids, np.zeros((0, 1), np.int64), np.zeros((0, 1), np.float32))]
+    for at in range(0, len(asked) if len(held) else 0, TILE):
+        rows = asked[at : at + TILE]
+        sims = unit[rows] @ unit[held].T
+        met = sum(np.bitwise_count(masks[i][rows, None] & masks[i][None, held]) for i in range(_MASK_WORDS))
+        sims[met < COLLISIONS] = -2
+        parts.append(_emit(ids[rows], ids[held], *_best(sims, ids[held], k)))
+    return pa.concat_tables(parts)
+
+
 def _merge(near: DataFrame, k: int) -> DataFrame:
     """(q, near) with the k nearest of all lists of q: at most k for each array, so a bounded number."""
     flat = near.groupBy("q").agg(F.flatten(F.collect_list("near")).alias("all"))
@@ -158,39 +177,65 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
                 edges[j] = np.unique(np.quantile(v, np.arange(1, blocks) / blocks))
     fitted = spark.sparkContext.broadcast((pivots, edges))  # at most MOST_PIVOTS vectors and SAMPLE edges
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch], blocks) -> Iterator[pa.RecordBatch]:
+        """A row for each array of a vector and each block, home block and whether it is its own, that `blocks` gives."""
         directions, cuts = fitted.value
+        none = np.zeros(0)
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
-                unit = unit_rows(part.column("vec"), dim)
-                top, val = project(unit, directions)
+                top, val = project(unit_rows(part.column("vec"), dim), directions)
                 mask = np.zeros((len(part), _MASK_WORDS), np.uint64)
                 for c in range(arrays):
                     mask[np.arange(len(part)), top[:, c] // 64 % _MASK_WORDS] |= np.uint64(1) << (top[:, c] % 64).astype(np.uint64)
-                who, array, block, own, value = [], [], [], [], []
+                who, array, block, home, value = [], [], [], [], []
                 for c in range(arrays):
-                    home = np.array([np.searchsorted(cuts[j], v, "right") if j in cuts else 0 for j, v in zip(top[:, c].tolist(), val[:, c].tolist())], np.int32)
-                    last = np.array([len(cuts[j]) if j in cuts else 0 for j in top[:, c].tolist()], np.int32)
-                    for step in (0, -1, 1):
-                        take = np.flatnonzero((home + step >= 0) & (home + step <= last))
+                    edge = [cuts.get(j, none) for j in top[:, c].tolist()]
+                    at_home = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, val[:, c].tolist())], np.int32)
+                    for take, of in blocks(part, edge, at_home, val[:, c]):
                         who.append(take)
                         array.append(top[take, c])
-                        block.append(home[take] + step)
-                        own.append(np.full(len(take), step == 0))
+                        block.append(of)
+                        home.append(at_home[take])
                         value.append(val[take, c])
                 w = np.concatenate(who)
-                cols = [pa.array(np.concatenate(array), pa.int32()), pa.array(np.concatenate(block), pa.int32()), pa.array(np.concatenate(own)), pa.array(np.concatenate(value).astype(np.float64))]
+                block, home = np.concatenate(block).astype(np.int32), np.concatenate(home)
+                cols = [pa.array(np.concatenate(array), pa.int32()), pa.array(block), pa.array(home // SPREAD), pa.array(block == home), pa.array(np.concatenate(value).astype(np.float64))]
                 vec = part.take(pa.array(w))
                 cols += [vec.column("id"), vec.column("vec")] + [pa.array(mask[w, i].view(np.int64)) for i in range(_MASK_WORDS)]
-                yield pa.RecordBatch.from_arrays(cols, ["array", "block", "own", "value", "id", "vec", *[f"m{i}" for i in range(_MASK_WORDS)]])
-
-    shape = "array int, block int, own boolean, value double, id bigint, vec binary, " + ", ".join(f"m{i} bigint" for i in range(_MASK_WORDS))
-    indexed = vectors.mapInArrow(index, shape)
+                yield pa.RecordBatch.from_arrays(cols, ["array", "block", "part", "own", "value", "id", "vec", *[f"m{i}" for i in range(_MASK_WORDS)]])
+
+    def around(part, edge, home, value):
+        last = np.array([len(e) for e in edge])
+        for step in (0, -1, 1):
+            take = np.flatnonzero((home + step >= 0) & (home + step <= last))
+            yield take, home[take] + step
+
+    def at_home(part, edge, home, value):
+        yield np.arange(len(home)), home
+
+    def beyond(part, edge, home, value):
+        """Blocks within the k-th distance of a query that `around` has left out."""
+        reach = part.column("reach").to_numpy() + 1e-4  # rounding
+        first = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, (value - reach).tolist())])
+        last = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, (value + reach).tolist())])
+        which = [np.r_[a : h - 1, h + 2 : b + 1] for a, h, b in zip(first.tolist(), home.tolist(), last.tolist())]
+        yield np.repeat(np.arange(len(home)), [len(x) for x in which]), np.concatenate(which)
+
+    shape = "array int, block int, part int, own boolean, value double, id bigint, vec binary, " + ", ".join(f"m{i} bigint" for i in range(_MASK_WORDS))
+    indexed = vectors.mapInArrow(lambda batches: placed(batches, around), shape)
     found = indexed.groupBy("array", "block").applyInArrow(lambda t: _search_block(t, dim, k), _NEAR)
     near = materialize(_merge(found, k), "near")
 
     kth = -F.get("near", F.lit(k - 1))["far"]
+    if any(len(e) > 1 for e in edges.values()):  # else every array is held whole
+        reach = F.coalesce(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * kth)), F.lit(2.0))
+        asked = vectors.join(near.select(F.col("q").alias("id"), reach.alias("reach")), "id")
+        asked = materialize(asked.mapInArrow(lambda batches: placed(batches, beyond), shape), "further")
+        held = vectors.mapInArrow(lambda batches: placed(batches, at_home), shape).drop("part")
+        held = held.join(asked.select("array", "block", "part").distinct(), ["array", "block"]).select(*asked.columns)
+        more = asked.unionByName(held).groupBy("array", "block", "part").applyInArrow(lambda t: _search_further(t, dim, k), _NEAR)
+        near = materialize(_merge(near.unionByName(more), k), "near-further")
     lone = vectors.join(near.where(F.coalesce(kth, F.lit(-2.0)) >= LONELY).select(F.col("q").alias("id")), "id", "left_anti")
     lone = materialize(lone, "lonely")
     at = lone.inputFiles()

@@ -165,6 +165,21 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.nearest(df.where("id < 2"), "id", "v", 16).count() == 2
 
 
+def test_neighbours_beyond_the_blocks_around(spark, monkeypatch):
+    for name, v in (("BLOCK", 16), ("MOST_PIVOTS", 2), ("ARRAYS", 2), ("LONELY", -1.0)):  # all rows in both arrays, none lonely
+        monkeypatch.setattr(neighbours, name, v)
+    x = np.random.default_rng(7).normal(size=(500, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<float>")
+    got = {}
+    for r in neighbours.nearest(df, "id", "v", 8).collect():
+        got.setdefault(r.id, set()).add(r.neighbour)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    want = np.argsort(-s, axis=1, kind="stable")[:, :5]
+    assert all(got[i] == set(want[i].tolist()) for i in range(len(x)))
+
+
 def test_subjects(spark):
     rng = random.Random(6)
     themes = {s: [f"{c}{w}" for w in ("lens", "scan", "court", "burn", "tumour", "ramp", "sleep", "mood")] for s, c in ((1, "a"), (2, "b"), (3, "c"))}
