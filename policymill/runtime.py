@@ -42,11 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: lineage is cut and the rows survive lost executors."""
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write `df` to the shared folder and read it back: lineage is cut and the rows survive lost executors.
+
+    With `by` each value of that column has a folder of its own, so a filter on it reads no other.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
