@@ -71,7 +71,12 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "subject_area").select(F.col("subject_id").cast("bigint").alias("subject_id"), "subject_name").join(per, "subject_id", "left")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_neighbours, p6_found, p6_groups, p7_ids, p8_containers, p8_fill, p9_found, p9_shares, p9_composition)}
+def p9_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every topic with its top terms, the subject they point to and how clearly, for inspection."""
+    return subjects.topic_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_label"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pieces, p3_found, p3_neighbours, p6_found, p6_groups, p7_ids, p8_containers, p8_fill, p9_found, p9_shares, p9_composition, p9_topics)}
 
 ORACLE = {
     "p2_found": """

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,7 +192,7 @@ def test_subjects(spark):
     docs += [(1000, None, "en"), (1001, "", None), (1002, "1 2 3", "en")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
     labels = spark.createDataFrame([(i, s) for i in range(200) for s in truth[i]] + [(5, None), (5, None)], "doc_id bigint, subject_id int")
-    settings = subjects.Settings(topics=9, steps=15, common=0.9)
+    settings = subjects.Settings(topics=9, common=0.9)
     got = {}
     for r in subjects.subjects(df, labels, settings=settings).collect():
         got.setdefault(r.doc_id, set()).add(r.subject_id)
@@ -203,6 +204,45 @@ def test_subjects(spark):
 
 
 def test_topic_proportions_are_near_their_limit():
-    p = np.repeat(np.array([[0.5, 0.3], [0.3, 0.5]], np.float32), [60, 20], axis=0)  # topics that share their words
-    theta, end = subjects.proportions(p), subjects.proportions(p, 1000)
+    phi = np.array([[0.5, 0.3], [0.3, 0.5]], np.float32)  # topics that share their words
+    sizes, terms, counts = np.array([2]), np.array([0, 1]), np.array([60, 20], np.float32)
+    (theta, _), (end, _) = (subjects.proportions(sizes, terms, counts, phi, *r) for r in ((), (1000,)))
     assert abs(theta / theta.sum() - end / end.sum()).max() < 0.05
+
+
+def test_topic_proportions_match_a_plain_loop():
+    rng = np.random.default_rng(8)
+    phi = rng.dirichlet(np.ones(30), 5).T.astype(np.float32)
+    docs = [rng.integers(0, 30, n).tolist() for n in (1, 3, 40, 0, 7, 7, 200)]
+    sizes, terms, counts, where = subjects.bags(pa.array(docs, pa.list_(pa.int32())), 30)
+    theta, fitted = subjects.proportions(sizes, terms, counts, phi)
+    starts = np.cumsum(sizes) - sizes
+    for d, words in enumerate(docs):
+        own = sorted(set(words))
+        assert terms[starts[d] : starts[d] + sizes[d]].tolist() == own and counts[starts[d] : starts[d] + sizes[d]].tolist() == [words.count(w) for w in own]
+        t = np.full(5, 1 / 5)
+        for _ in range(subjects.FOLDS):
+            t = t * sum((phi[w] / (phi[w] @ t) for w in words), np.zeros(5)) + subjects.DOC_PRIOR
+        if words:
+            assert np.allclose(theta[d], t, rtol=1e-3, atol=1e-3) and np.allclose(fitted[starts[d] : starts[d] + sizes[d]], phi[own] @ theta[d], rtol=1e-3)
+    assert [terms[w] for w in where] == [w for words in docs for w in words]
+
+
+def test_words_of_small_languages_are_kept(spark):
+    rows = [(i, f"The court case {['alpha', 'beta', 'gamma', 'delta'][i % 4]} now.", "en") for i in range(2000)] + [(5000 + i, f"{['uno', 'dos'][i % 2]} otro tres{'abcdefghi'[i % 4]}.", "xx") for i in range(20)]
+    docs = spark.createDataFrame(rows, "k bigint, t string, lang string")
+    got = [w for w, _ in subjects.vocabulary(subjects.read_texts(docs).where("what = 'count'"), subjects.Settings(common=0.3))]
+    assert {"alpha", "beta", "gamma", "delta"} <= set(got) and "court" not in got
+    assert {"tresa", "tresb"} <= set(got) and "otro" not in got  # judged among the 20 documents of the pool
+
+
+def test_topic_report(spark):
+    docs = [(i, "Lens scan retina. Lens scan eye." if i % 2 else "Court judge trial. Court judge law.", "en") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1 if i % 2 else 2) for i in range(100)], "doc_id bigint, subject_id int")
+    rows = subjects.topic_report(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), labels, settings=subjects.Settings(topics=4, common=0.9)).collect()
+    assert len(rows) == 4 and all(len(r.terms) <= 15 for r in rows)
+    for r in rows:
+        if r.subject_id is not None:
+            assert (r.terms[0] in {"lens", "scan", "retina", "eye"}) == (r.subject_id == 1)
+    assert {r.subject_id for r in rows} >= {1, 2}
+    assert subjects.topic_report(spark.createDataFrame([], "doc_id bigint, text string, lang string"), labels).count() == 0
