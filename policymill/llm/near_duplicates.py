@@ -15,6 +15,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ WORDS = re.compile(r"[^\W_]+")
 CHUNKS, PER_CHUNK = 12, 4
 SYMBOLS = CHUNKS * PER_CHUNK
 SKETCH_DISTANCE = 21
+HOT_PART = 16  # hot keys are looked for in one of so many items
 BUCKET = 512  # larger buckets are compared in blocks of this size, spread over tasks
 _ODD = np.random.default_rng(20240229).integers(0, 1 << 63, (2, SYMBOLS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -114,15 +116,19 @@ def _keyed(df: DataFrame, width: int, least_words: int) -> DataFrame:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs under the sketch distance among rows sorted by (g, key); rows of large buckets are passed on with b NULL."""
+    """Pairs under the sketch distance among rows sorted by (key, g); rows of large buckets are passed on with b NULL.
 
-    def pairs(g: np.ndarray, key: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    A bucket that has been passed on in part is passed on whole, however few of its rows are left.
+    """
+    begun: tuple[str, int] | None = None  # the bucket (g, key) passed on in part
+
+    def pairs(g: np.ndarray, key: np.ndarray, s0: np.ndarray, s1: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a stretch of whole buckets: pair ends, and which rows are in large buckets."""
         n = len(key)
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (g[1:] != g[:-1])]) if n else np.zeros(0, bool)
         start = np.flatnonzero(new)
         size = np.diff(np.concatenate([start, [n]]))
-        hot = np.repeat(size > BUCKET, size)
+        hot = np.repeat(size > BUCKET, size) | rest
         left = np.repeat(start + size, size) - np.arange(n) - 1  # rows of the bucket after this one
         left[hot] = 0
         a_all, b_all, step, at = [], [], 1, np.flatnonzero(left >= 1)
@@ -138,7 +144,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.concat_arrays(table.column("g").chunks)
         g = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)[:whole]
         key, rep, s0, s1 = (table.column(c).to_numpy()[:whole] for c in ("key", "rep", "s0", "s1"))
-        a, b, hot = pairs(g, key, s0, s1)
+        rest = np.zeros(whole, bool)
+        if begun:
+            rest = pc.equal(names[:whole], begun[0]).to_numpy(zero_copy_only=False) & (key == begun[1])
+        a, b, hot = pairs(g, key, s0, s1, rest)
         rest = np.flatnonzero(hot)
         rows = np.concatenate([a, rest])
         lo, hi = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
@@ -158,6 +167,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = int(np.searchsorted(key, key[-1]))
             if whole == 0 and len(held) > 16 * BUCKET:  # one large bucket fills all that is held; pass most of it on
                 whole = len(held) - 2 * BUCKET
+                begun = (held.column("g")[whole - 1].as_py(), int(key[whole - 1]))
             if whole:
                 yield out(held, whole)
                 held = held.slice(whole)
@@ -188,8 +198,17 @@ def _blocks(hot: DataFrame) -> DataFrame:
 def candidate_pairs(reps: DataFrame) -> DataFrame:
     """Distinct pairs (g, a, b) of representatives that meet under a key and pass the sketch distance."""
     keyed = reps.select("g", "rep", "s0", "s1", F.explode("keys").alias("key"))
+    # Keys seen often in a part of the items are passed by the shuffle that brings equal keys together. This decides the
+    # way of their rows only: a large bucket that is not seen here is passed on by _meet.
+    part = keyed.where(F.pmod(F.xxhash64("rep"), F.lit(HOT_PART)) == 0)
+    often = part.groupBy("g", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2 * BUCKET // HOT_PART)
+    often = materialize(often.select("g", "key", F.lit(True).alias("hot")), "near-hot")
+    marked = keyed.join(often, ["g", "key"], "left")
+    hot = marked.where("hot").select("g", F.col("rep").alias("a"), F.lit(None).cast("bigint").alias("b"), "key", "s0", "s1")
+    keyed = marked.where("hot is null")
     met = keyed.repartition("key").sortWithinPartitions("key", "g").select("g", "rep", "s0", "s1", "key")
-    met = materialize(met.mapInArrow(_meet, "g string, a bigint, b bigint, key bigint, s0 bigint, s1 bigint"), "near-met")
+    met = met.mapInArrow(_meet, "g string, a bigint, b bigint, key bigint, s0 bigint, s1 bigint").unionByName(hot)
+    met = materialize(met, "near-met")
     small = met.where("b is not null").select("g", "a", "b")
     return small.unionByName(_blocks(met.where("b is null"))).distinct()
 

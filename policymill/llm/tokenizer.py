@@ -23,7 +23,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _MIXED_BLANKS = regex.compile(r"^\s|\s$|\s \S|\S \s|\s{2}")
 _SINGLE_BLANK = regex.compile(r"(?<=\S) (?=\S)")
-MOST_WORDS = 400_000
+MOST_WORDS, MOST_FITS = 400_000, 1_000_000  # kept by a worker before it starts afresh
 TEXTS_AT_ONCE, CHARS_AT_ONCE = 1000, 4_000_000
 
 
@@ -49,6 +49,8 @@ class TrieEncoder:
     def follows(self, a: int, b: int) -> bool:
         """Whether token b may stand after token a in an encoding: merging their joint text gives them back."""
         if (fit := self._fits.get((a, b))) is None:
+            if len(self._fits) > MOST_FITS:
+                self._fits.clear()
             fit = self._fits[a, b] = self.merge((self.token[a] if a >= 0 else b"") + self.token[b]) == ([a, b] if a >= 0 else [b])
         return fit
 

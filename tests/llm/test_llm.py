@@ -137,6 +137,18 @@ def test_near_duplicates(spark, monkeypatch):
     assert near_duplicates.near_duplicate_groups(df.limit(0), "id", "text").count() == 0
 
 
+def test_large_buckets_are_passed_on_whole():
+    n = {"a": 9000, "b": 8600, "c": 3}
+    g = [x for x, k in n.items() for _ in range(k)]
+    rows = {"g": pa.array(g), "rep": pa.array(range(len(g)), pa.int64()), "s0": pa.array([0] * len(g), pa.int64()), "s1": pa.array([0] * len(g), pa.int64()), "key": pa.array([7] * len(g), pa.int64())}
+    batches = pa.table(rows).to_batches(max_chunksize=1000)
+    out = pa.Table.from_batches(list(near_duplicates._meet(iter(batches)))).to_pylist()
+    hot = [r for r in out if r["b"] is None]
+    assert sorted(r["a"] for r in hot) == list(range(n["a"] + n["b"]))
+    small = {(r["a"], r["b"]) for r in out if r["b"] is not None}
+    assert small == {(x, y) for x in range(17600, 17603) for y in range(x + 1, 17603)}
+
+
 def test_components(spark):
     edges = [("g", i, i + 1) for i in range(60)] + [("g", 100, i) for i in range(101, 160)] + [("h", 1, 2)]
     got = {(r.g, r.node): r.component for r in components.connected(spark.createDataFrame(edges, "g string, a bigint, b bigint"), "g", "a", "b").collect()}
