@@ -11,6 +11,7 @@ TRUE_WORDS = ("1", "-1", "true", "t", "y", "yes")
 FALSE_WORDS = ("0", "false", "f", "n", "no")
 CODE_LABELS = {"B": " (start of range)", "E": " (end of range)"}
 LEAKED = r"<\|[^|>\n]*\|>|【|】|\bto=functions\."  # fixed value: marks of chat templates and raw tool calls
+DOCUMENT_ID, NATIONAL_ID = r"\b([LA]\d{5})\b", r"\bNCD\s*(\d+(?:\.\d+)*)"  # fixed values: forms of public ids in a text
 STATUS_LABELS = {"A": "active", "R": "retired", "P": "proposed"}
 
 
@@ -72,8 +73,8 @@ def public_id(c: Column) -> Column:
 
 def mentioned_ids(c: Column) -> Column:
     """Distinct public ids named in a text, sorted."""
-    docs = F.transform(F.regexp_extract_all(c, F.lit(r"(?i)\b([LA]\d{5})\b"), F.lit(1)), F.upper)
-    ncd = F.transform(F.regexp_extract_all(c, F.lit(r"(?i)\bNCD\s*(\d+(?:\.\d+)*)"), F.lit(1)), lambda x: F.concat(F.lit("NCD "), x))
+    docs = F.transform(F.regexp_extract_all(c, F.lit("(?i)" + DOCUMENT_ID), F.lit(1)), F.upper)
+    ncd = F.transform(F.regexp_extract_all(c, F.lit("(?i)" + NATIONAL_ID), F.lit(1)), lambda x: F.concat(F.lit("NCD "), x))
     return F.array_sort(F.array_distinct(F.concat(docs, ncd)))
 
 

@@ -27,6 +27,7 @@ CODE_LABELS = {
 }
 PLACEHOLDERS = ("n/a", "na", "none", "not applicable")
 LEAST_TEXT = 25  # characters below which a section is not worth a chunk
+LEAST_BELOW = 40  # characters below a heading from which the heading is left to the path
 
 CHUNK = ["doc_pk", "section", "source_table", "source_key", "chunk_index", "heading_path", "content"]
 
@@ -67,7 +68,7 @@ def narrative_chunks(rows: DataFrame, keys: Sequence[str], base: str, label: str
     """
     pieces = chunking.pieces(rows, [*keys, base, label], text, sizes)
     lead = F.concat(F.lit("### "), F.col("head"), F.lit("\n\n"))
-    bare = F.startswith(F.col("body"), lead) & (F.length("body") > F.length(lead) + 40)
+    bare = F.startswith(F.col("body"), lead) & (F.length("body") > F.length(lead) + LEAST_BELOW)
     path = F.concat_ws(" > ", base, label, F.when(F.col("head") != F.col(label), F.nullif(F.col("head"), F.lit(""))))
     body = F.when(bare, F.substring(F.col("body"), F.length(lead) + 1, F.length("body"))).otherwise(F.col("body"))
     return pieces.select(*keys, "chunk_index", path.alias("heading_path"), body.alias("content"))

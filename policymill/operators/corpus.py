@@ -12,6 +12,7 @@ from policymill.operators import tables
 from policymill.runtime import table
 
 CONTRACTOR_KEY = ["contractor_id", "contractor_type_id", "contractor_version"]
+PART, ENTIRE = " - ", "entire state"  # fixed values: what splits the name of a part of a state, and marks the whole of it
 CODE_SYSTEMS = ("HCPCS", "HCPCS_MOD", "ICD10CM", "ICD10PCS", "REV", "BILL")
 
 
@@ -69,18 +70,22 @@ def in_jurisdiction(states: list[str] | None) -> Column:
 
 
 def resolve_states(states: DataFrame, name: str) -> DataFrame:
-    """States meant by a name: matches by abbreviation, else description, else base name, and their sub-states.
+    """(state_id, state_abbrev): jurisdictions meant by a name, found by abbreviation, else description, else base name.
 
-    A single part of a state (`Base, Part`) stands for itself; otherwise every row of the same base counts.
+    `Base - Part` describes a part of a state. A part found alone stands for itself and the rows of its base that are
+    the entire state; otherwise every row of the bases found counts. Case and blanks around the name don't matter; an
+    unknown or NULL name gives no rows.
     """
-    base = F.trim(F.split_part(F.col("description"), F.lit(","), F.lit(1)))
-    n = name.strip().lower()
-    tier = F.when(F.lower("state_abbrev") == n, 1).when(F.lower("description") == n, 2).when(F.lower(base) == n, 3)
-    rows = states.withColumn("base", base).withColumn("tier", tier)
-    hits = rows.where("tier is not null").join(rows.agg(F.min("tier").alias("tier")), "tier", "left_semi")
-    parts = hits.where(F.col("description").contains(",") & (F.col("tier") < 3))
-    wider = rows.join(hits.where(~(F.col("description").contains(",") & (F.col("tier") < 3))).select("base").distinct(), "base", "left_semi")
-    return parts.select("state_id", "state_abbrev").unionByName(wider.select("state_id", "state_abbrev")).distinct()
+    base = F.trim(F.split_part(F.col("description"), F.lit(PART), F.lit(1)))
+    n, described = (name or "").strip().lower(), F.lower(F.trim("description"))
+    tier = F.when(F.lower("state_abbrev") == n, 1).when(described == n, 2).when(F.lower(base) == n, 3)
+    rows = states.withColumn("base", F.lower(base)).withColumn("entire", F.contains(described, F.lit(ENTIRE))).withColumn("tier", tier)
+    hits = rows.join(rows.agg(F.min("tier").alias("tier")), "tier", "left_semi")  # NULL tiers never meet
+    part = F.contains(F.col("description"), F.lit(PART)) & ~F.col("entire")
+    found = hits.agg(F.min("base").alias("base"), ((F.count(F.lit(1)) == 1) & F.every(part)).alias("alone"), F.min("tier").alias("found"))
+    wider = rows.join(hits.select("base").distinct(), "base", "left_semi").join(found, "base", "left")
+    stays = ~F.coalesce("alone", F.lit(False)) | F.col("entire") | (F.col("tier") == F.col("found"))
+    return wider.where(stays).select("state_id", "state_abbrev").distinct()
 
 
 def lookup_code(c: Corpus, code: str, states: list[str] | None = None, system: str | None = None, limit: int = 25) -> DataFrame:

@@ -1,11 +1,13 @@
 """Problem 5: references to records that do not exist.
 
-State is kept by parent key: the last parent record and the number of references that wait on or hold to it. A batch
-of new references and arriving parents advances it: references probe the state as of their own load time, an arriving
-parent resolves what waits on its key, a deletion reopens it. Open counts are taken at the end of each month.
-
-Work is sliced by (key, month, salt), so a key that holds a third of all references is spread over many groups; only
-one carried-in parent state per key and month passes between slices.
+State is kept by parent key: the parent records so far (the parent index) and every reference with whether its parent was
+missing on arrival and whether it waits now. A batch of new references and parent records advances it: new references
+probe the index as of their own load time; an arriving parent resolves what waits on its key, a deletion reopens it, and
+one that comes late corrects what was found before. Only references of keys that the batch touches are looked at again.
+Open counts are taken at the end of each month.
+
+Work is sliced by key and month, and a slice with many references is spread over salts, so a key that holds a third of
+all references is many groups; only one carried-in parent record per key and month passes between slices.
 """
 
 from __future__ import annotations
@@ -16,9 +18,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
-_PARENT = "parent_table string, key string, at timestamp, seq bigint, ok boolean"
-_COUNT = "parent_table string, ref_table string, key string, refs bigint, open boolean"
+from policymill.operators.tables import union_all
+from policymill.runtime import materialize
+
+SLICE_ROWS = 100_000  # references of a key and month that stay in one group
+PARENT = "parent_table string, key string, at timestamp, seq bigint, ok boolean"
+REFERENCE = "ref_table string, parent_table string, ref_id bigint, key string, at timestamp, missing boolean, waits boolean"
+_KEY = ["parent_table", "key"]
+_SEEN = ["ref_table", "parent_table", "ref_id", "key", "at"]
+_RECORD = "struct<at timestamp,seq bigint,ok boolean>"
 
 
 def key_text(cols: Sequence[str]) -> Column:
@@ -44,77 +52,104 @@ def parents(df: DataFrame, parent_table: str, seq: str, key: Sequence[str], at:
 
 @dataclass
 class OrphanState:
-    """Last parent record of each key, and per key and referring table the number of references and whether they are open."""
+    """All parent records, and all references with whether they were missing their parent on arrival and wait for it now."""
 
     parents: DataFrame
-    counts: DataFrame
+    refs: DataFrame
 
     @classmethod
     def empty(cls, spark) -> OrphanState:
-        return cls(spark.createDataFrame([], _PARENT), spark.createDataFrame([], _COUNT))
+        return cls(spark.createDataFrame([], PARENT), spark.createDataFrame([], REFERENCE))
 
 
 @dataclass
 class Advance:
-    """What a batch brings: the state after it, the references open on arrival, the change of open counts by month."""
+    """What a batch brings.
+
+    state: after it. found: references that miss their parent as of their load time. withdrawn: such ones of earlier
+    batches for which a parent has now come that was loaded in time. changes: references of earlier batches that were
+    `resolved` or `reopened` (kind), with the load time of the parent record that did it (since). deltas: changes of
+    the open counts by month.
+    """
 
     state: OrphanState
     found: DataFrame
+    withdrawn: DataFrame
+    changes: DataFrame
     deltas: DataFrame
 
 
-def advance(state: OrphanState, refs: DataFrame, parent_log: DataFrame, salts: int = SALTS) -> Advance:
-    """Apply one batch, whose load times are not before those already in `state`.
+def _month(at: str = "at") -> Column:
+    return F.date_trunc("month", F.col(at))
+
+
+def _record() -> Column:
+    return F.struct("at", "seq", "ok").alias("p")
+
+
+def _judge(refs: DataFrame, history: DataFrame, slice_rows: int) -> DataFrame:
+    """`refs` with `missing` (no valid parent at their load time), `waits` (none now) and `since` (the last parent record)."""
+    placed = refs.where("key is not null and at is not null").withColumn("month", _month())
+    lost = refs.where("key is null or at is null")
+    sizes = placed.groupBy(*_KEY, "month").agg(F.count(F.lit(1)).alias("n"))
+    by_month = history.groupBy(*_KEY, _month().alias("month")).agg(F.max(_record()).alias("p"))
+    slices = by_month.unionByName(sizes.select(*_KEY, "month", F.lit(None).cast(_RECORD).alias("p"))).groupBy(*_KEY, "month").agg(F.max("p").alias("p"))
+    before = Window.partitionBy(*_KEY).orderBy("month").rowsBetween(Window.unboundedPreceding, -1)  # months of a key, not its rows
+    carried = slices.withColumn("c", F.last("p", ignorenulls=True).over(before)).where("c is not null").select(*_KEY, "month", "c.*")
+
+    large = sizes.where(F.col("n") > slice_rows).select(*_KEY, "month", F.ceil(F.col("n") / slice_rows).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
+    arriving = history.withColumn("month", _month()).unionByName(carried).join(large, [*_KEY, "month"], "left")
+    arriving = arriving.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn("kind", F.lit(0)).drop("salts")
+    probing = placed.join(large, [*_KEY, "month"], "left").withColumn("salt", F.pmod(F.xxhash64("ref_table", "ref_id"), salts).cast("int"))
+    probing = probing.withColumn("kind", F.lit(1)).drop("salts")
+    upto = Window.partitionBy(*_KEY, "month", "salt").orderBy("at", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    both = arriving.unionByName(probing, allowMissingColumns=True)
+    probed = both.withColumn("then", F.last("ok", ignorenulls=True).over(upto)).where("kind = 1").select(*refs.columns, "then")
+    last = history.groupBy(*_KEY).agg(F.max(_record()).alias("p"))
+    known = probed.join(last, _KEY, "left")
+    known = known.select(*refs.columns, (~F.coalesce("then", F.lit(False))).alias("missing"), (~F.coalesce("p.ok", F.lit(False))).alias("waits"), F.col("p.at").alias("since"))
+    return known.unionByName(lost.withColumns({"missing": F.lit(True), "waits": F.lit(True), "since": F.lit(None).cast("timestamp")}))
+
+
+def _monthly(refs: DataFrame, history: DataFrame, sign: int = 1) -> DataFrame:
+    """(ref_table, month, delta): how the number of open references changes over the months; counters by key and month are enough."""
+    n = refs.where("key is not null and at is not null").groupBy(*_KEY, "ref_table", _month().alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    ends = history.groupBy(*_KEY, _month().alias("month")).agg(F.max(_record()).alias("p")).join(n.select(*_KEY, "ref_table").distinct(), _KEY)
+    ends = ends.withColumn("n", F.lit(0).cast("bigint")).unionByName(n.withColumn("p", F.lit(None).cast(_RECORD)))
+    ends = ends.groupBy(*_KEY, "ref_table", "month").agg(F.max("p").alias("p"), F.sum("n").alias("n"))
+    run = Window.partitionBy(*_KEY, "ref_table").orderBy("month")  # months of a key
+    upto = run.rowsBetween(Window.unboundedPreceding, 0)
+    pending = F.when(~F.coalesce(F.last("p.ok", ignorenulls=True).over(upto), F.lit(False)), F.sum("n").over(upto)).otherwise(F.lit(0))
+    ends = ends.withColumn("pending", pending).withColumn("delta", F.col("pending") - F.coalesce(F.lag("pending").over(run), F.lit(0)))
+    never = refs.where("key is null or at is null").groupBy("ref_table", _month().alias("month")).agg(F.count(F.lit(1)).alias("delta"))
+    both = ends.select("ref_table", "month", "delta").unionByName(never)
+    return both.groupBy("ref_table", "month").agg((F.sum("delta") * sign).alias("delta"))
+
+
+def advance(state: OrphanState, refs: DataFrame, parent_log: DataFrame, slice_rows: int = SLICE_ROWS) -> Advance:
+    """Apply one batch; its load times may lie before those already in `state`.
 
     A parent loaded at the same time as a reference counts for it; of parents with equal time the greatest seq does.
-    References without a key or a load time are open on arrival and never resolve. Repeated references each count.
+    References without a key or a load time miss their parent and never resolve. Repeated references each count.
     Empty batches and states are fine. Inputs are the frames of references() and parents().
     """
-    k = ["parent_table", "key"]
-    month = F.date_trunc("month", F.col("at"))
-    placed = refs.where("key is not null and at is not null")
-    lost = refs.where("key is null or at is null")
-
-    log = parent_log.withColumn("month", month)
-    by_month = log.groupBy(*k, "month").agg(F.max(F.struct("at", "seq", "ok")).alias("p"))
-    before = state.parents.select(*k, F.lit("0001-01-01").cast("timestamp").alias("month"), F.struct("at", "seq", "ok").alias("p"))
-    touched = placed.select(*k, month.alias("month")).distinct().withColumn("p", F.lit(None).cast("struct<at timestamp,seq bigint,ok boolean>"))
-    slices = by_month.unionByName(before).unionByName(touched).groupBy(*k, "month").agg(F.max("p").alias("p"))
-    over_months = Window.partitionBy(*k).orderBy("month")  # months of a key, not its rows
-    carry = F.last("p", ignorenulls=True).over(over_months.rowsBetween(Window.unboundedPreceding, -1))
-    carried = slices.withColumn("c", carry).where("c is not null").select(*k, "month", "c.*")
-
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    arriving = log.unionByName(carried).select(*k, "month", "at", "seq", "ok", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("ref_table"), F.lit(None).cast("bigint").alias("ref_id"), salt)
-    probing = placed.select(
-        *k, month.alias("month"), "at", F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("boolean").alias("ok"), F.lit(1).alias("kind"),
-        "ref_table", "ref_id", F.pmod(F.xxhash64("ref_table", "ref_id"), F.lit(salts)).cast("int").alias("salt"),
-    )
-    slice_ = Window.partitionBy(*k, "month", "salt").orderBy("at", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    probed = arriving.unionByName(probing).withColumn("now", F.last("ok", ignorenulls=True).over(slice_)).where("kind = 1")
-    open_now = probed.where(~F.coalesce("now", F.lit(False))).select("ref_table", "parent_table", "ref_id", "key", "at")
-    found = open_now.unionByName(lost.select("ref_table", "parent_table", "ref_id", "key", "at"))
-
-    # Open counts: all references of a key are open or not together, so counters by key and month are enough.
-    n = placed.groupBy(*k, "ref_table", month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
-    tables = n.select(*k, "ref_table").unionByName(state.counts.select(*k, "ref_table")).distinct()
-    ends = slices.join(tables, k).withColumn("n", F.lit(0).cast("bigint"))
-    ends = ends.unionByName(n.withColumn("p", F.lit(None).cast("struct<at timestamp,seq bigint,ok boolean>")).select(ends.columns))
-    old = state.counts.select(*k, F.lit("0001-01-01").cast("timestamp").alias("month"), F.lit(None).cast("struct<at timestamp,seq bigint,ok boolean>").alias("p"), "ref_table", F.col("refs").alias("n"))
-    ends = ends.unionByName(old.select(ends.columns)).groupBy(*k, "ref_table", "month").agg(F.max("p").alias("p"), F.sum("n").alias("n"))
-    run = Window.partitionBy(*k, "ref_table").orderBy("month")
-    upto = run.rowsBetween(Window.unboundedPreceding, 0)
-    ends = ends.withColumn("refs", F.sum("n").over(upto)).withColumn("open", ~F.coalesce(F.last("p.ok", ignorenulls=True).over(upto), F.lit(False)))
-    ends = ends.withColumn("pending", F.when(F.col("open"), F.col("refs")).otherwise(F.lit(0)))
-    ends = ends.withColumn("delta", F.col("pending") - F.coalesce(F.lag("pending").over(run), F.lit(0)))
-    never = lost.groupBy("ref_table", month.alias("month")).agg(F.count(F.lit(1)).alias("delta"))
-    deltas = ends.where("month > timestamp'0001-01-02'").select("ref_table", "month", "delta").unionByName(never)
+    touched = parent_log.select(*_KEY).distinct()
+    earlier = state.refs.withColumnsRenamed({"missing": "was_missing", "waits": "did_wait"})
+    again, rest = earlier.join(touched, _KEY, "left_semi"), state.refs.join(touched, _KEY, "left_anti")
+    fresh = refs.select(*_SEEN)
+    asked = again.unionByName(fresh.withColumns({"was_missing": F.lit(None).cast("boolean"), "did_wait": F.lit(None).cast("boolean")}))
+    held = state.parents.join(asked.select(*_KEY).distinct(), _KEY, "left_semi")
+    history = held.unionByName(parent_log)
+    judged = materialize(_judge(asked, history, slice_rows), "orphans-judged")
+    found = judged.where("missing and not coalesce(was_missing, false)").select(*_SEEN)
+    withdrawn = judged.where("was_missing and not missing").select(*_SEEN)
+    kind = F.when(F.col("did_wait"), "resolved").otherwise("reopened")
+    changes = judged.where("did_wait is not null and did_wait <> waits").select(*_SEEN, "since", kind.alias("kind"))
+    deltas = union_all([_monthly(fresh, history), _monthly(again, history), _monthly(again, held, -1)])
     deltas = deltas.groupBy("ref_table", "month").agg(F.sum("delta").alias("delta"))
-
-    latest = log.select(*k, F.struct("at", "seq", "ok").alias("p")).unionByName(state.parents.select(*k, F.struct("at", "seq", "ok").alias("p")))
-    latest = latest.groupBy(*k).agg(F.max("p").alias("p")).select(*k, "p.*")
-    counts = ends.groupBy("parent_table", "ref_table", "key").agg(F.max_by(F.struct("refs", "open"), "month").alias("c")).select("parent_table", "ref_table", "key", "c.*")
-    return Advance(OrphanState(latest, counts), found, deltas)
+    after = OrphanState(state.parents.unionByName(parent_log), rest.unionByName(judged.select(*rest.columns)))
+    return Advance(after, found, withdrawn, changes, deltas)
 
 
 def open_by_month(deltas: DataFrame) -> DataFrame:

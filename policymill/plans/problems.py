@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from policymill.operators import delimited, orphans, snapshot_diff
-from policymill.runtime import table
+from policymill.operators.tables import union_all
+from policymill.runtime import materialize, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,25 +47,50 @@ def p4_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTRACTOR_KEY = ("contractor_id", "contractor_type_id", "contractor_version")
 
 
-def _p5(spark: SparkSession, sf_dir: str) -> orphans.Advance:
+def _p5_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All references and all parent records."""
     contractor, links, states = (table(spark, sf_dir, t) for t in ("contractor", "policy_contractor", "state_lookup"))
     refs = orphans.references(links, "policy_contractor", "contractor", "load_id", CONTRACTOR_KEY, "loaded_at", "contractor_id")
     refs = refs.unionByName(orphans.references(contractor, "contractor", "state_lookup", "load_id", ["state_id"], "loaded_at", "state_id"))
     log = orphans.parents(contractor, "contractor", "load_id", CONTRACTOR_KEY, "loaded_at", F.col("status") == "D")
-    log = log.unionByName(orphans.parents(states, "state_lookup", "load_id", ["state_id"], "loaded_at", F.lit(False)))
-    return orphans.advance(orphans.OrphanState.empty(spark), refs, log)
+    return refs, log.unionByName(orphans.parents(states, "state_lookup", "load_id", ["state_id"], "loaded_at", F.lit(False)))
+
+
+def _p5(spark: SparkSession, sf_dir: str) -> list[tuple[int | None, orphans.Advance]]:
+    """The logs fed to the state year by year of loading; a batch's state is written before the next."""
+    refs, log = _p5_logs(spark, sf_dir)
+    years = refs.select(F.year("at").alias("y")).union(log.select(F.year("at").alias("y"))).distinct().orderBy(F.asc_nulls_first("y"))
+    state, out = orphans.OrphanState.empty(spark), []
+    for (y,) in years.collect():  # one row a year
+        of = F.year("at").eqNullSafe(F.lit(y))
+        got = orphans.advance(state, refs.where(of), log.where(of))
+        state = orphans.OrphanState(materialize(got.state.parents, "orphan-parents"), materialize(got.state.refs, "orphan-refs"))
+        out.append((y, replace(got, state=state)))
+    return out
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _p5(spark, sf_dir).found.select("ref_table", F.date_format("at", "yyyy-MM").alias("period"), F.col("ref_id").alias("load_id"))
+    done = _p5(spark, sf_dir)
+    refs = (done[-1][1].state if done else orphans.OrphanState.empty(spark)).refs
+    return refs.where("missing").select("ref_table", F.date_format("at", "yyyy-MM").alias("period"), F.col("ref_id").alias("load_id"))
 
 
 def p5_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphans open at the end of each month, per referring table."""
-    return orphans.open_by_month(_p5(spark, sf_dir).deltas).select("ref_table", F.date_format("month", "yyyy-MM").alias("period"), "open_refs")
+    deltas = [got.deltas for _, got in _p5(spark, sf_dir)] or [spark.createDataFrame([], "ref_table string, month timestamp, delta bigint")]
+    return orphans.open_by_month(union_all(deltas)).select("ref_table", F.date_format("month", "yyyy-MM").alias("period"), "open_refs")
+
+
+def p5_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each yearly batch brought: references found without a parent, and earlier ones resolved or reopened."""
+    frames = [spark.createDataFrame([], "year int, ref_table string, kind string")]
+    for y, got in _p5(spark, sf_dir):
+        kinds = [got.found.withColumn("kind", F.lit("found")), got.withdrawn.withColumn("kind", F.lit("withdrawn")), got.changes]
+        frames += [f.select(F.lit(y).cast("int").alias("year"), "ref_table", "kind") for f in kinds]
+    return union_all(frames).groupBy("year", "ref_table", "kind").agg(F.count(F.lit(1)).alias("refs"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_summary, p4_found, p4_reasons, p4_policy_code, p4_state_lookup, p5_found, p5_open)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_summary, p4_found, p4_reasons, p4_policy_code, p4_state_lookup, p5_found, p5_open, p5_events)}
 
 _D = "coalesce(strftime(try_strptime(CASE WHEN regexp_matches({0},'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN {0} END,'%Y-%m-%d'),'%Y-%m-%d'), strftime(try_strptime(CASE WHEN regexp_matches({0},'^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$') THEN {0} END,'%m/%d/%Y'),'%Y-%m-%d'), {0})"
 _B = "nullif(trim({0}),'')"
@@ -128,4 +156,11 @@ months AS (SELECT DISTINCT ref_table, date_trunc('month', m) AS m FROM (
 counted AS (SELECT m.ref_table, m.m, r.pt, r.k, count(r.load_id) AS n FROM months m LEFT JOIN r ON r.ref_table = m.ref_table AND r.ts < m.m + INTERVAL 1 MONTH GROUP BY ALL),
 stated AS (SELECT c.ref_table, c.m, c.n, arg_max(p.gone, (p.ts, p.seq)) AS gone FROM counted c LEFT JOIN p ON p.pt = c.pt AND p.k = c.k AND p.ts < c.m + INTERVAL 1 MONTH GROUP BY c.ref_table, c.m, c.pt, c.k, c.n)
 SELECT ref_table, strftime(m, '%Y-%m') AS period, CAST(sum(CASE WHEN coalesce(gone, true) THEN n ELSE 0 END) AS bigint) AS open_refs FROM stated GROUP BY ALL""",
+    "p5_events": _P5 + """,
+years AS (SELECT *, lag(y) OVER (ORDER BY y) AS before FROM (SELECT year(ts) AS y FROM r UNION SELECT year(ts) FROM p)),
+at_end AS (SELECT years.y, years.before, r.ref_table, r.load_id, year(r.ts) AS arrived, coalesce(arg_max(p.gone, (p.ts, p.seq)), true) AS waits,
+  coalesce(arg_max(p.gone, (p.ts, p.seq)) FILTER (WHERE p.ts <= r.ts), true) AS missing FROM years JOIN r ON year(r.ts) <= years.y LEFT JOIN p ON p.pt = r.pt AND p.k = r.k AND year(p.ts) <= years.y GROUP BY ALL),
+e AS (SELECT y, ref_table, 'found' AS kind FROM at_end WHERE arrived = y AND missing UNION ALL
+  SELECT n.y, n.ref_table, CASE WHEN o.waits THEN 'resolved' ELSE 'reopened' END FROM at_end n JOIN at_end o ON o.y = n.before AND o.ref_table = n.ref_table AND o.load_id = n.load_id WHERE o.waits <> n.waits)
+SELECT CAST(y AS integer) AS year, ref_table, kind, count(*) AS refs FROM e GROUP BY ALL""",
 }

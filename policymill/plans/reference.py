@@ -145,10 +145,33 @@ def contractor_overview(spark, sf_dir):
     return corpus.contractor_overview(Corpus(spark, sf_dir, AS_OF))
 
 
-@query(f"SELECT DISTINCT state_id, state_abbrev FROM {_STATES} WHERE CASE WHEN (SELECT min(description) FROM {_STATES}) LIKE '%,%' THEN lower(description) = (SELECT lower(min(description)) FROM {_STATES}) ELSE lower(trim(split_part(description, ',', 1))) = (SELECT lower(min(description)) FROM {_STATES}) END")
+# State names with parts: the reference table has none, so the bases are the types of contractors' states put to parts.
+_PARTS = f"""(SELECT state_id, CASE WHEN state_id % 4 = 1 THEN state_abbrev ELSE substring(state_abbrev, 1, 1) || (state_id % 4) END AS state_abbrev,
+substring(description, 1, 2) || CASE state_id % 4 WHEN 0 THEN '' WHEN 1 THEN ' - Entire State' WHEN 2 THEN ' - Northern' ELSE ' - Southern' END AS description FROM {_STATES})"""
+
+
+def _resolved(name: str, src: str) -> str:
+    return f"""(WITH r AS (SELECT state_id, state_abbrev, description, lower(trim(split_part(description, ' - ', 1))) AS base, lower(description) LIKE '%entire state%' AS entire,
+CASE WHEN lower(state_abbrev) = {name} THEN 1 WHEN lower(trim(description)) = {name} THEN 2 WHEN lower(trim(split_part(description, ' - ', 1))) = {name} THEN 3 END AS tier FROM {src}),
+h AS (SELECT * FROM r WHERE tier = (SELECT min(tier) FROM r)), o AS (SELECT count(*) = 1 AND bool_and(description LIKE '% - %' AND NOT entire) AS alone FROM h)
+SELECT DISTINCT state_id, state_abbrev FROM r WHERE base IN (SELECT base FROM h) AND (NOT (SELECT alone FROM o) OR entire OR state_id IN (SELECT state_id FROM h)))"""
+
+
+_FIRST = f"(SELECT lower(min(description)) FROM {_STATES})"
+_NORTH = f"(SELECT lower(min(description)) FROM {_PARTS} WHERE description LIKE '% - Northern')"
+
+
+@query(f"SELECT 'whole' AS asked, * FROM {_resolved(_FIRST, _STATES)} UNION ALL SELECT 'part', * FROM {_resolved(_NORTH, _PARTS)} UNION ALL SELECT 'base', * FROM {_resolved(f'substring({_NORTH}, 1, 2)', _PARTS)}")
 def resolve_states(spark, sf_dir):
+    """A state of the table, then a part and its base among names that are given parts."""
     s = Corpus(spark, sf_dir).states()
-    return corpus.resolve_states(s, s.agg(F.min("description")).first()[0])
+    kind = F.col("state_id") % 4
+    end = F.when(kind == 0, "").when(kind == 1, " - Entire State").when(kind == 2, " - Northern").otherwise(" - Southern")
+    short = F.when(kind == 1, F.col("state_abbrev")).otherwise(F.concat(F.substring("state_abbrev", 1, 1), kind.cast("string")))
+    parts = s.select("state_id", short.alias("state_abbrev"), F.concat(F.substring("description", 1, 2), end).alias("description"))
+    north = parts.where(F.endswith("description", F.lit(" - Northern"))).agg(F.min("description")).first()[0] or ""
+    asked = {"whole": (s, s.agg(F.min("description")).first()[0]), "part": (parts, north), "base": (parts, north[:2])}
+    return tables.union_all([corpus.resolve_states(frame, name).select(F.lit(k).alias("asked"), "state_id", "state_abbrev") for k, (frame, name) in asked.items()])
 
 
 _Q64 = "[" + ",".join(f"{x!r}" for x in QUERY_64) + "]::DOUBLE[]"
@@ -205,6 +228,20 @@ def chunk_text(spark, sf_dir):
     return chunking.chunk_texts(table(spark, sf_dir, "lcd"), ["doc_pk"], "indication")
 
 
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(f"SELECT doc_pk, sha256(regexp_replace(indication, '{_WS}', '', 'g')) AS digest, true AS in_bounds FROM lcd WHERE regexp_replace(indication, '{_WS}', '', 'g') <> ''")
+def chunk_cover(spark, sf_dir):
+    """The chunks of a text, without what they carry over, hold all its characters but blanks, in order and within the sizes."""
+    z = chunking.Sizes()
+    c = chunking.pieces(table(spark, sf_dir, "lcd"), ["doc_pk"], "indication")
+    fresh = F.regexp_replace(F.substring("body", F.col("carried") + 1, F.length("body")), _WS, "")
+    fits = (F.length("body") <= z.hard + z.carry + 2) & (F.col("carried") <= z.carry + 2) & ((F.col("chunk_index") > 0) | (F.col("carried") == 0))
+    per = c.groupBy("doc_pk").agg(F.array_sort(F.collect_list(F.struct("chunk_index", fresh.alias("x")))).alias("all"), F.every(fits).alias("in_bounds"))  # the rows of one text
+    return per.select("doc_pk", F.sha2(F.array_join("all.x", ""), 256).alias("digest"), "in_bounds")
+
+
 @query("SELECT chunk_id, sha256(CASE WHEN heading_path IS NULL THEN coalesce(content, '') ELSE heading_path || CASE WHEN content IS NULL THEN '' ELSE chr(10) || content END END) AS digest, greatest(1, (coalesce(length(heading_path), 0) + coalesce(length(content), 0)) // 4)::INTEGER AS tokens FROM doc_chunk")
 def chunk_hash(spark, sf_dir):
     h, c = F.col("heading_path"), F.col("content")
@@ -264,7 +301,7 @@ def values_parse_date(spark, sf_dir):
     return table(spark, sf_dir, "policy_doc_snapshot").select("snapshot_date", "doc_type", "doc_id", "doc_version", "loaded_at", values.day(F.col("effective_date")).alias("effective"))
 
 
-@query("SELECT code_pk, CAST(trunc(try_cast(code AS double)) AS bigint) AS n, CASE WHEN lower(range_pos) IN ('1','-1','true','t','y','yes') THEN true WHEN lower(range_pos) IN ('0','false','f','n','no') THEN false END AS flag, left(trim(description), 1) AS initial FROM policy_code WHERE NOT coalesce(abs(try_cast(code AS double)) > 2147483647, false) AND NOT contains(code, 'E')")
+@query("SELECT code_pk, CASE WHEN abs(trunc(try_cast(code AS double))) <= 2147483647 THEN CAST(trunc(try_cast(code AS double)) AS bigint) END AS n, CASE WHEN lower(range_pos) IN ('1','-1','true','t','y','yes') THEN true WHEN lower(range_pos) IN ('0','false','f','n','no') THEN false END AS flag, left(trim(description), 1) AS initial FROM policy_code")
 def values_parse(spark, sf_dir):
     return table(spark, sf_dir, "policy_code").select("code_pk", values.whole(F.col("code")).cast("bigint").alias("n"), values.flag(F.col("range_pos")).alias("flag"), values.first_char(F.col("description")).alias("initial"))
 
@@ -274,7 +311,8 @@ def mentioned_ids(spark, sf_dir):
     return table(spark, sf_dir, "doc_chunk").where("heading_path is not null").select("chunk_id", F.array_join(values.mentioned_ids(F.col("heading_path")), ",").alias("ids"))
 
 
-@query(rf"""WITH r AS (SELECT c.doc_pk, d.public_id, regexp_extract_all(coalesce(heading_path, '') || ' ' || coalesce(content, ''), '\b([LA]\d{{5}})\b', 1) AS ids FROM doc_chunk c JOIN policy_doc d USING (doc_pk) WHERE d.public_id IS NOT NULL)
+@query(r"""WITH t AS (SELECT c.doc_pk, d.public_id, coalesce(heading_path, '') || ' ' || coalesce(content, '') AS x FROM doc_chunk c JOIN policy_doc d USING (doc_pk) WHERE d.public_id IS NOT NULL),
+r AS (SELECT doc_pk, public_id, list_concat(list_transform(regexp_extract_all(x, '(?i)\b([LA]\d{5})\b', 1), lambda i: upper(i)), list_transform(regexp_extract_all(x, '(?i)\bNCD\s*(\d+(?:\.\d+)*)', 1), lambda i: 'NCD ' || i)) AS ids FROM t)
 SELECT doc_pk, max(CASE WHEN list_contains(ids, public_id) THEN 1.0::DOUBLE ELSE 0.0 END) AS recall FROM r GROUP BY 1""")
 def citation_recall(spark, sf_dir):
     c = table(spark, sf_dir, "doc_chunk").join(table(spark, sf_dir, "policy_doc").where("public_id is not null").select("doc_pk", "public_id"), "doc_pk")

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 
 def session(app: str = "policymill", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir; one of this machine only where Spark runs in this process."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="policymill-")
         shared_dir.own = at  # type: ignore[attr-defined]
     return at.rstrip("/")
@@ -51,16 +52,3 @@ def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def has_column(df: DataFrame, name: str) -> bool:
-    """Whether `name` resolves in `df`."""
-    try:
-        df.select(name)
-        return True
-    except AnalysisException:
-        return False
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

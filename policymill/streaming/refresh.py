@@ -2,51 +2,89 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from policymill.operators import orphans
 from policymill.operators.tables import keep_one, upsert
 
 
-def _latest(spark: SparkSession, base: str, batch: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{base}/{batch}")
-    except Exception:  # noqa: BLE001 - the first batch has none before it
-        return None
+@dataclass(frozen=True)
+class Buckets:
+    """A table in folders by hash of its key, of which a batch writes only those it touches.
+
+    `base`/rows/<batch>/bucket=<n> holds rows; `base`/manifest/<batch> says in which batch's folder each bucket is. A batch
+    that is run again after a failure writes the same folders again. Errors of reading are never taken for an empty table.
+    """
+
+    spark: SparkSession
+    base: str
+    key: Sequence[str]
+    schema: StructType
+    count: int = 64
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(*self.key), F.lit(self.count)).cast("int"))
+
+    def touched(self, df: DataFrame) -> list[int]:
+        return [r[0] for r in self.placed(df).select("bucket").distinct().collect()]  # at most `count`
+
+    def manifest(self, batch: int) -> dict[int, int]:
+        """Bucket -> batch after a batch; empty before the first."""
+        return {r.bucket: r.batch for r in self.spark.read.parquet(f"{self.base}/manifest/{batch}").collect()} if batch >= 0 else {}
+
+    def read(self, batch: int, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The table after a batch, or the given buckets of it."""
+        at = self.manifest(batch)
+        paths = [f"{self.base}/rows/{at[b]}/bucket={b}" for b in (at if buckets is None else buckets) if b in at]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        """`df` holds every row of the buckets that it has rows of."""
+        self.placed(df).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/rows/{batch}")
+        own = {r[0] for r in self.spark.read.parquet(f"{self.base}/rows/{batch}").select("bucket").distinct().collect()} if df.take(1) else set()
+        at = self.manifest(batch - 1) | {b: batch for b in own}
+        self.spark.createDataFrame(list(at.items()), "bucket int, batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.base}/manifest/{batch}")
 
 
-def upsert_stream(spark: SparkSession, landing: str, schema, target: str, key: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Keep `target`/<batch> as the table after each batch of parquet files; of equal keys the last in `order` counts.
+def upsert_stream(spark: SparkSession, landing: str, schema: StructType, target: str, key: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
+    """Keep a table under `target` with each batch of parquet files; of equal keys the last in `order` counts.
 
-    A batch that is run again after a failure writes the same directory again.
+    Read it with Buckets(spark, target, key, schema).read(batch).
     """
 
     def apply(df: DataFrame, batch: int) -> None:
+        table = Buckets(df.sparkSession, target, key, schema)
         new = keep_one(df, key, [F.desc(c) for c in order])
-        old = _latest(df.sparkSession, target, batch - 1)
-        (new if old is None else upsert(old, new, key)).write.mode("overwrite").parquet(f"{target}/{batch}")
+        table.write(upsert(table.read(batch - 1, table.touched(new)), new, key), batch)
 
     stream = spark.readStream.schema(schema).parquet(landing)
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def orphan_stream(spark: SparkSession, landing: str, schema, target: str, checkpoint: str, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> StreamingQuery:
+def orphan_stream(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> StreamingQuery:
     """Advance the pending-orphan state with each batch; `split` gives a batch's references and parents.
 
-    `target`/<batch> gets the state (parents, counts), the references found open on arrival and the monthly deltas.
+    `target`/parents and /refs hold the state in buckets of the parent key; only buckets of the keys in a batch are read and
+    written. `target`/found, /withdrawn, /changes and /deltas get what each batch brings, in a folder of its own.
     """
+    parts = {"parents": orphans.PARENT, "refs": orphans.REFERENCE}
 
     def apply(df: DataFrame, batch: int) -> None:
         s = df.sparkSession
-        held, counted = _latest(s, f"{target}/parents", batch - 1), _latest(s, f"{target}/counts", batch - 1)
-        state = orphans.OrphanState.empty(s) if held is None or counted is None else orphans.OrphanState(held, counted)
-        got = orphans.advance(state, *split(df))
-        for name, frame in (("parents", got.state.parents), ("counts", got.state.counts), ("found", got.found), ("deltas", got.deltas)):
-            frame.write.mode("overwrite").parquet(f"{target}/{name}/{batch}")
+        held = {n: Buckets(s, f"{target}/{n}", ["parent_table", "key"], s.createDataFrame([], kind).schema) for n, kind in parts.items()}
+        refs, log = split(df)
+        own = sorted({*held["refs"].touched(refs), *held["refs"].touched(log)})
+        got = orphans.advance(orphans.OrphanState(*(held[n].read(batch - 1, own) for n in parts)), refs, log)
+        for name in ("found", "withdrawn", "changes", "deltas"):
+            getattr(got, name).write.mode("overwrite").parquet(f"{target}/{name}/{batch}")
+        held["parents"].write(got.state.parents, batch)
+        held["refs"].write(got.state.refs, batch)
 
     stream = spark.readStream.schema(schema).parquet(landing)
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -102,6 +102,7 @@ def test_orphans_whole_and_in_batches(spark):
     day = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(days=i)
     refs = [("r", "p", i, rng.choice(["hot", "hot", "a", "b", "none", None]), day(rng.randrange(300))) for i in range(400)] + [("r", "p", 999, "a", None), ("r", "p", 0, "a", day(5))]
     log = [("p", rng.choice(["hot", "a", "b", "unused"]), day(rng.randrange(300)), i, rng.random() < 0.6) for i in range(80)]
+    refs, log = [*refs, ("r", "p", 2000, "c", day(200))], [*log, ("p", "c", day(10), 900, True)]
     rf = lambda x: spark.createDataFrame(x, "ref_table string, parent_table string, ref_id bigint, key string, at timestamp")
     pf = lambda x: spark.createDataFrame(x, "parent_table string, key string, at timestamp, seq bigint, ok boolean")
 
@@ -110,26 +111,78 @@ def test_orphans_whole_and_in_batches(spark):
         return bool(own) and max(own)[2]
 
     want = sorted((r[2] for r in refs if not holds(r[3], r[4])))
-    whole = orphans.advance(orphans.OrphanState.empty(spark), rf(refs), pf(log), salts=4)
+    whole = orphans.advance(orphans.OrphanState.empty(spark), rf(refs), pf(log), slice_rows=10)
     assert sorted(r.ref_id for r in whole.found.collect()) == want
     cut = day(150)
     early = lambda x, at: [y for y in x if y[at] is None or y[at] < cut]
     late = lambda x, at: [y for y in x if y[at] is not None and y[at] >= cut]
-    one = orphans.advance(orphans.OrphanState.empty(spark), rf(early(refs, 4)), pf(early(log, 2)), salts=4)
-    two = orphans.advance(one.state, rf(late(refs, 4)), pf(late(log, 2)), salts=4)
+    one = orphans.advance(orphans.OrphanState.empty(spark), rf(early(refs, 4)), pf(early(log, 2)), slice_rows=10)
+    two = orphans.advance(one.state, rf(late(refs, 4)), pf(late(log, 2)), slice_rows=10)
     assert sorted(r.ref_id for x in (one, two) for r in x.found.collect()) == want
     counts = lambda d: {(r.month): r.open_refs for r in orphans.open_by_month(d).collect()}
     a, b = counts(whole.deltas), counts(one.deltas.unionByName(two.deltas))
     last = max(m for m in a if m)
     end = dt.datetime(2025, 1, 1)
     assert a[last] == b[last] == sum(not holds(r[3], end) for r in refs)
+    # The later half first: what comes late corrects what was found, and the state ends the same.
+    two = orphans.advance(orphans.OrphanState.empty(spark), rf(late(refs, 4)), pf(late(log, 2)), slice_rows=10)
+    one = orphans.advance(two.state, rf(early(refs, 4)), pf(early(log, 2)), slice_rows=10)
+    ids = lambda *frames: sorted(r.ref_id for f in frames for r in f.collect())
+    gone = ids(one.withdrawn)
+    net = ids(two.found, one.found)
+    for i in gone:
+        net.remove(i)
+    assert gone and net == want == ids(one.state.refs.where("missing"))
+    assert ids(one.state.refs.where("waits")) == sorted(r[2] for r in refs if not holds(r[3], end if r[4] else None))
+    assert counts(two.deltas.unionByName(one.deltas)) == a
     empty = orphans.advance(orphans.OrphanState.empty(spark), rf([]), pf([]))
     assert empty.found.count() == 0 and empty.deltas.count() == 0
 
 
+def test_parents_resolve_and_deletions_reopen(spark):
+    day = lambda i: dt.datetime(2024, 1, i)
+    rf = lambda x: spark.createDataFrame([("r", "p", i, k, t) for i, k, t in x], "ref_table string, parent_table string, ref_id bigint, key string, at timestamp")
+    pf = lambda x: spark.createDataFrame([("p", k, t, i, ok) for i, k, t, ok in x], "parent_table string, key string, at timestamp, seq bigint, ok boolean")
+    state = orphans.OrphanState.empty(spark)
+    steps = [
+        ([(1, "a", day(2)), (2, "b", day(2)), (3, None, day(2))], [(1, "b", day(1), True)], [], {1, 3}),
+        ([(4, "b", day(5))], [(2, "a", day(4), True)], [(1, "resolved")], set()),
+        ([], [(3, "a", day(6), False), (4, "b", day(6), False)], [(1, "reopened"), (2, "reopened"), (4, "reopened")], set()),
+        ([(5, "b", day(8))], [(5, "b", day(7), True)], [(2, "resolved"), (4, "resolved")], set()),
+    ]
+    for refs, log, changes, found in steps:
+        got = orphans.advance(state, rf(refs), pf(log))
+        assert sorted((r.ref_id, r.kind) for r in got.changes.collect()) == changes and {r.ref_id for r in got.found.collect()} == found
+        assert got.withdrawn.count() == 0
+        state = got.state
+    assert {r.ref_id for r in state.refs.where("waits").collect()} == {1, 3}
+
+
+def test_orphan_stream(spark, tmp_path):
+    from policymill.streaming import refresh
+
+    landing, target, check = (str(tmp_path / x) for x in ("in", "out", "check"))
+    schema = spark.createDataFrame([], "what string, key string, id bigint, at timestamp, ok boolean").schema
+    day = lambda i: dt.datetime(2024, 1, i)
+
+    def split(df):
+        refs = df.where("what = 'ref'").select(F.lit("r").alias("ref_table"), F.lit("p").alias("parent_table"), F.col("id").alias("ref_id"), "key", "at")
+        return refs, df.where("what = 'parent'").select(F.lit("p").alias("parent_table"), "key", "at", F.col("id").alias("seq"), "ok")
+
+    batches = [[("ref", "a", 1, day(1), None), ("ref", "b", 2, day(1), None)], [("parent", "a", 1, day(2), True)], [("parent", "a", 2, day(3), False), ("ref", "c", 3, day(3), None)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        refresh.orphan_stream(spark, landing, schema, target, check, split).awaitTermination()
+    read = lambda name, batch: sorted(tuple(r) for r in spark.read.parquet(f"{target}/{name}/{batch}").select("ref_id", *(["kind"] if name == "changes" else [])).collect())
+    assert [read("found", b) for b in range(3)] == [[(1,), (2,)], [], [(3,)]]
+    assert [read("changes", b) for b in range(3)] == [[], [(1, "resolved")], [(1, "reopened")]]
+    refs = refresh.Buckets(spark, f"{target}/refs", ["parent_table", "key"], spark.createDataFrame([], orphans.REFERENCE).schema)
+    assert {(r.ref_id, r.waits) for r in refs.read(2).collect()} == {(1, True), (2, True), (3, True)}
+
+
 def test_hot_key_is_spread(spark):
     n = 20000
     refs = spark.range(n).select(F.lit("r").alias("ref_table"), F.lit("p").alias("parent_table"), F.col("id").alias("ref_id"), F.lit("hot").alias("key"), F.timestamp_seconds(F.col("id") * 60 + 1_700_000_000).alias("at"))
     log = spark.createDataFrame([("p", "hot", dt.datetime(2023, 11, 20), 1, True)], "parent_table string, key string, at timestamp, seq bigint, ok boolean")
-    found = orphans.advance(orphans.OrphanState.empty(spark), refs, log).found
+    found = orphans.advance(orphans.OrphanState.empty(spark), refs, log, slice_rows=500).found
     assert found.count() == refs.where(F.col("at") < dt.datetime(2023, 11, 20)).count()

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from policymill.functions import english, markup, values
-from policymill.operators import chunking, embedding, evaluate, retrieval, tables
+from policymill.operators import chunking, corpus, embedding, evaluate, retrieval, tables
 from policymill.plans import catalogue
 from policymill.sources import bulk
 
@@ -50,6 +50,16 @@ def test_values(spark):
     assert values.code_candidates("w1234", "ICD10CM") == ["W1234", "W12.34"]
 
 
+def test_states_and_their_parts(spark):
+    rows = [(1, "CA", "Cala - Entire State"), (2, "NF", "Cala - Northern"), (3, "SF", "Cala - Southern"), (4, "MN", "Mina"), (5, None, None), (6, "ZZ", "Zed - East"), (7, "QQ", "cala")]
+    s = spark.createDataFrame([(*r, "x") for r in rows], "state_id int, state_abbrev string, description string, base string")
+    got = lambda name: sorted(r.state_abbrev for r in corpus.resolve_states(s, name).collect())
+    assert got(" nf ") == got("Cala - northern") == ["CA", "NF"]
+    assert got("CA") == ["CA", "NF", "QQ", "SF"] == got("cala")
+    assert got("mina") == ["MN"] and got("zed") == got("ZZ") == ["ZZ"] and got("nowhere") == got("") == got(None) == []
+    assert corpus.resolve_states(s.limit(0), "CA").count() == 0
+
+
 def test_markup(spark):
     page = "<p><b>Heading one</b></p><p>a &amp; b</p><script>x</script><ul><li>one<li>two</ul><table><tr><td>1</td><td>2</td></tr><tr><td></td></tr></table><h2>Sub</h2>x<br>y"
     df = spark.createDataFrame([(page,), ("plain",), ("",), (None,), ("<b>unclosed",)], "h string").select(markup.to_text(F.col("h")).alias("t"))
@@ -62,8 +72,8 @@ def test_chunks(spark):
     z = chunking.Sizes()
     text = "### One\n\n" + "\n\n".join("word " * 60 for _ in range(12)) + "\n\n### Two\n\n" + "x" * 5000 + "\n\n" + "A sentence here. " * 200 + "\n\nend"
     got = chunking.pack(text)
-    assert all(len(b) <= z.hard + 200 for _, b in got) and got[0][0] == "One" and got[-1][0] == "Two"
-    assert set(text.split()) - {"x" * 5000} <= set(" ".join(b for _, b in got).split())
+    assert all(len(b) <= z.hard + 200 for _, b, _ in got) and got[0][0] == "One" and got[-1][0] == "Two"
+    assert set(text.split()) - {"x" * 5000} <= set(" ".join(b for _, b, _ in got).split())
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "k int, t string")
     new = chunking.chunk_texts(df, ["k"], "t")
     assert {r.k for r in new.collect()} == {1}
@@ -123,8 +133,11 @@ def test_streaming_upsert(spark, tmp_path):
     for batch in ([row(1, "a", 1), row(1, "b", 2), row(2, "x", 1)], [row(1, "c", 3), row(3, "z", 1)]):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(landing)
         refresh.upsert_stream(spark, landing, spark.createDataFrame([], schema).schema, target, ["k"], ["at"], check).awaitTermination()
-    got = {(r.k, r.v) for r in spark.read.parquet(f"{target}/1").collect()}
-    assert got == {(1, "c"), (2, "x"), (3, "z")}
+    table = refresh.Buckets(spark, target, ["k"], spark.createDataFrame([], schema).schema)
+    assert {(r.k, r.v) for r in table.read(1).collect()} == {(1, "c"), (2, "x"), (3, "z")}
+    assert {(r.k, r.v) for r in table.read(0).collect()} == {(1, "b"), (2, "x")}
+    at = table.manifest(1)
+    assert set(at.values()) == {0, 1}  # the bucket of 2 was not written again
 
 
 def test_citation_recall_of_every_kind_of_id(spark, tmp_path):
