@@ -64,7 +64,7 @@ def _p5(spark: SparkSession, sf_dir: str) -> list[tuple[int | None, orphans.Adva
     for (y,) in years.collect():  # one row a year
         of = F.year("at").eqNullSafe(F.lit(y))
         got = orphans.advance(state, refs.where(of), log.where(of))
-        state = orphans.OrphanState(materialize(got.state.parents, "orphan-parents"), materialize(got.state.refs, "orphan-refs"))
+        state = orphans.OrphanState(got.state.parents, materialize(got.state.refs, "orphan-refs"))  # parents: parts of the given log
         out.append((y, replace(got, state=state)))
     return out
 
