@@ -32,7 +32,7 @@ def test_tokens_match_the_public_library(spark):
     assert tokenizer.encode_texts(df.limit(0)).count() == 0
 
 
-def test_containers(spark):
+def test_containers(spark, monkeypatch):
     rng = random.Random(2)
     texts = WEIRD + [" ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=rng.randrange(1, 400))) for _ in range(300)] + ["same text"] * 200
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -47,6 +47,14 @@ def test_containers(spark):
         own.sort(key=lambda r: r.piece)
         assert sum(r.tokens for r in own) == sizes[k] and len(own) == -(-sizes[k] // 256) and [r.first_token for r in own] == [256 * i for i in range(len(own))]
     assert 1 - sum(used.values()) / 256 / len(used) < 0.1
+    monkeypatch.setattr(packing, "WINDOW", 16)
+    monkeypatch.setattr(packing, "RANGE_ROWS", 100)
+    near: dict = {}
+    for r in packing.fill_containers(df, capacity=256).collect():
+        near.setdefault(r.container_id, []).append((r.container_id >> 40, r.place))
+    assert len({x[0][0] for x in near.values()}) > 1  # more than one range
+    for own in near.values():
+        assert len({part for part, _ in own}) == 1 and max(p for _, p in own) // 16 - min(p for _, p in own) // 16 <= packing.CARRY
     report = packing.fill_report(packing.fill_containers(df.limit(0)), 256).first()
     assert (report.containers, report.tokens, report.unused_share) == (0, 0, None)
 
