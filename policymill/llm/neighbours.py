@@ -1,12 +1,13 @@
 """Problem 3: the k most similar vectors of every vector, by collision counting on sorted projections.
 
 Each vector is projected on single directions (pivots: sampled vectors, so that directions follow crowded areas) and
-indexed in the sorted arrays of the projections on which it stands out most. A query opens a window around its own
-value in each of its arrays and widens it by doubling radii (virtual rehashing); vectors that collide with it in
-enough arrays are verified with their true similarity. Projections shrink distances, so a window of radius r has all
-of the array within r, and a query stops widening once its k-th distance is within the radius. A window is first
-opened in the blocks around a query; where its k-th distance reaches beyond them, it goes on to all further blocks of
-the array within that distance. Queries in lonely areas, whose windows bring nothing near, widen to all rows, read in blocks.
+indexed in the sorted arrays of the ARRAYS projections on which it stands out most. A query opens a window around its own
+value in each of its arrays; another vector collides with it in an array if it lies in that window. Vectors that collide
+in COLLISIONS arrays are verified with their true similarity, no others. Windows of a query whose k-th distance is not
+within their radius are widened by doubling it (virtual rehashing): projections shrink distances, so windows of radius r
+hold all of their arrays within distance r. Arrays are cut into blocks of bounded size; windows are first opened in the
+block of the query, and then in all further blocks that its k-th distance reaches, however many. Queries in lonely areas,
+whose windows bring nothing near, widen to all rows, read in blocks.
 """
 
 from __future__ import annotations
@@ -23,15 +24,16 @@ from pyspark.sql import functions as F
 
 from policymill.runtime import materialize
 
-SAMPLE = 8192  # rows the directions and block edges are fitted on, whatever the number of vectors
-MOST_PIVOTS = 2048
+SAMPLE = 8192  # rows the directions are chosen from, whatever the number of vectors; so there are no more directions
 ARRAYS = 6  # sorted arrays a vector is indexed in
 COLLISIONS = 2
-BLOCK = 4096  # rows of an array compared together, with as many on either side
-TILE = 256
+BLOCK = 4096  # rows of an array that are in one group
+EDGES = 1024  # most cuts of an array
+FIRST_RADIUS = 0.25
+TILE = 128
 SPREAD = 4  # home blocks whose queries are compared with a further block in one group
 LONELY = 0.45  # a k-th similarity below this widens the query to all rows
-_MASK_WORDS = 4
+_APART = 8.0  # between arrays on the joint axis of all sorted arrays of a group, more than windows can reach
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -43,11 +45,12 @@ def pack(x: np.ndarray) -> bytes:
 
 def unit_rows(packed: pa.Array, dim: int) -> np.ndarray:
     """Unit vectors of packed ones."""
-    out = np.empty((len(packed), dim), np.float32)
-    for i, b in enumerate(packed.to_pylist()):
-        out[i] = np.frombuffer(b, np.float16 if len(b) == 2 * dim else np.float32)
-    norm = np.sqrt(np.einsum("ij,ij->i", out.astype(np.float64), out.astype(np.float64)))
-    return (out / norm[:, None]).astype(np.float32)
+    raw = packed.to_pylist()
+    half = np.fromiter((len(b) == 2 * dim for b in raw), bool, len(raw))
+    out = np.empty((len(raw), dim), np.float64)
+    for kind, which in ((np.float16, half), (np.float32, ~half)):
+        out[which] = np.frombuffer(b"".join(b for b, w in zip(raw, which) if w), kind).reshape(-1, dim)
+    return (out / np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]).astype(np.float32)
 
 
 def usable(vector: Column, dim: int) -> Column:
@@ -80,48 +83,55 @@ def _emit(q: np.ndarray, ids: np.ndarray, cols: np.ndarray, vals: np.ndarray) ->
 _NEAR = "q bigint, near array<struct<far:double,id:bigint>>"
 
 
-def _search_block(t: pa.Table, dim: int, k: int) -> pa.Table:
-    """Neighbours of a block's own rows among all rows it holds."""
-    order = np.argsort(t.column("value").to_numpy(), kind="stable")
-    value, ids, own = (t.column(c).to_numpy()[order] for c in ("value", "id", "own"))
-    masks = np.stack([t.column(f"m{i}").to_numpy()[order].view(np.uint64) for i in range(_MASK_WORDS)])
-    unit = unit_rows(t.column("vec").combine_chunks().take(pa.array(order)), dim)
-    parts = []
-    mine = np.flatnonzero(own)
-    for at in range(0, len(mine), TILE):
-        rows = mine[at : at + TILE]
-        radius, low, high = 0.5, 0, 0
-        while True:
-            low = np.searchsorted(value, value[rows[0]] - radius)
-            high = np.searchsorted(value, value[rows[-1]] + radius, "right")
-            sims = unit[rows] @ unit[low:high].T
-            met = sum(np.bitwise_count(masks[i][rows, None] & masks[i][None, low:high]) for i in range(_MASK_WORDS))
-            sims[met < COLLISIONS] = -2
-            sims[np.arange(len(rows)), rows - low] = -2
-            cols, vals = _best(sims, ids[low:high], k)
-            done = (vals.shape[1] >= k) and bool((np.sqrt(np.maximum(0, 2 - 2 * vals[:, -1])) <= radius).all())
-            if done or (low == 0 and high == len(value)):
-                break
-            radius *= 2
-        parts.append(_emit(ids[rows], ids[low:high], cols, vals))
-    empty = _emit(np.zeros(0, np.int64), ids, np.zeros((0, 1), np.int64), np.zeros((0, 1), np.float32))
-    return pa.concat_tables(parts) if parts else empty
-
-
-def _search_further(t: pa.Table, dim: int, k: int) -> pa.Table:
-    """Neighbours of the queries sent to a block among its rows."""
-    own = t.column("own").to_numpy()
-    ids = t.column("id").to_numpy()
-    masks = np.stack([t.column(f"m{i}").to_numpy().view(np.uint64) for i in range(_MASK_WORDS)])
-    unit = unit_rows(t.column("vec").combine_chunks(), dim)
-    asked, held = np.flatnonzero(~own), np.flatnonzero(own)
+class _Arrays:
+    """The sorted arrays of the held rows of a group, one after another on a joint axis."""
+
+    def __init__(self, array: np.ndarray, value: np.ndarray):
+        axis = (array * _APART + value).ravel()
+        order = np.argsort(axis, kind="stable")
+        self.axis, self.row, self.rows = axis[order], order // array.shape[1], len(array)
+
+    def collisions(self, array: np.ndarray, value: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Queries x rows: in how many arrays a row lies in the query's window."""
+        centre, reach = array * _APART + value, radius[:, None] + 1e-5  # rounding
+        low, high = np.searchsorted(self.axis, centre - reach).ravel(), np.searchsorted(self.axis, centre + reach, "right").ravel()
+        size = high - low
+        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        query = np.repeat(np.arange(len(array)), size.reshape(array.shape).sum(1))
+        return np.bincount(query * self.rows + self.row[at], minlength=len(array) * self.rows).reshape(len(array), self.rows)
+
+
+def _search(t: pa.Table, dim: int, k: int) -> pa.Table:
+    """Neighbours of the rows that ask among the rows that a group holds.
+
+    `asks` is NaN for rows that don't, 0 for windows that are widened as needed, else the radius of the windows.
+    """
+    asks, ids = t.column("asks").to_numpy(), t.column("id").to_numpy()
+    tops = np.frombuffer(b"".join(t.column("tops").to_pylist()), np.float32).reshape(len(t), 2, -1).astype(np.float64)
+    array, value = tops[:, 0], tops[:, 1]
+    held = np.flatnonzero(t.column("held").to_numpy())
+    asked = np.flatnonzero(~np.isnan(asks))
+    asked = asked[np.lexsort((array[asked, 1] if array.shape[1] > 1 else array[asked, 0], array[asked, 0]))]  # alike ones in a tile
     parts = [_emit(np.zeros(0, np.int64), ids, np.zeros((0, 1), np.int64), np.zeros((0, 1), np.float32))]
-    for at in range(0, len(asked) if len(held) else 0, TILE):
-        rows = asked[at : at + TILE]
-        sims = unit[rows] @ unit[held].T
-        met = sum(np.bitwise_count(masks[i][rows, None] & masks[i][None, held]) for i in range(_MASK_WORDS))
-        sims[met < COLLISIONS] = -2
-        parts.append(_emit(ids[rows], ids[held], *_best(sims, ids[held], k)))
+    if not len(held):
+        return parts[0]
+    unit, arrays = unit_rows(t.column("vec").combine_chunks(), dim), _Arrays(array[held], value[held])
+    own = ids[held]
+    for at in range(0, len(asked), TILE):
+        rows, radius = asked[at : at + TILE], FIRST_RADIUS
+        while len(rows):
+            given = asks[rows]
+            met = arrays.collisions(array[rows], value[rows], np.where(given > 0, given, radius))
+            near = (met >= COLLISIONS) & (own[None, :] != ids[rows, None])
+            cols = np.flatnonzero(near.any(0))
+            sims = unit[rows] @ unit[held[cols]].T
+            sims[~near[:, cols]] = -2
+            best, vals = _best(sims, own[cols], k) if len(cols) else (np.zeros((len(rows), 1), np.int64), np.full((len(rows), 1), -2.0, np.float32))
+            kth = vals[:, -1] if vals.shape[1] >= k else np.full(len(rows), -2.0)
+            done = (given > 0) | (np.sqrt(np.maximum(0, 2 - 2 * kth)) <= radius) | (radius >= 2)
+            if done.any():
+                parts.append(_emit(ids[rows[done]], own[cols] if len(cols) else ids[:1], best[done], vals[done]))
+            rows, radius = rows[~done], radius * 2
     return pa.concat_tables(parts)
 
 
@@ -138,8 +148,8 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
 
     Similarity is the cosine; on equal similarity the smaller key comes first. Rows with equal vectors are searched
     once and expanded to at most k each. NULL keys and vectors that are NULL, of another size, not finite or all zero
-    take no part. Keys must be unique. Tables of fewer than k + 1 usable rows give what there is. Directions and block
-    edges are fitted on SAMPLE rows; every row is indexed.
+    take no part. Keys must be unique. Tables of fewer than k + 1 usable rows give what there is. Directions are chosen
+    from SAMPLE rows; every row is indexed.
     """
     spark = df.sparkSession
 
@@ -158,83 +168,86 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
         units = unit_rows(sample.column("vec").combine_chunks(), dim)
     else:
         units = np.zeros((0, dim), np.float32)
-    count = max(1, min(MOST_PIVOTS, len(units), int(2 * math.sqrt(n))))
+    count = max(1, min(len(units), int(2 * math.sqrt(n))))
     pivots = units[:count]
     arrays = min(ARRAYS, count)
+    directions = spark.sparkContext.broadcast(pivots)  # at most SAMPLE vectors
 
-    def project(unit: np.ndarray, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = unit @ directions.T
+    def project(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arrays in which a vector stands out most, the first foremost, and its values there."""
+        a = unit @ directions.value.T
         top = np.argpartition(-a, arrays - 1, axis=1)[:, :arrays]
-        return top, np.take_along_axis(a, top, 1)
+        value = np.take_along_axis(a, top, 1)
+        order = np.argsort(-value, axis=1, kind="stable")
+        return np.take_along_axis(top, order, 1), np.take_along_axis(value, order, 1)
 
-    edges: dict[int, np.ndarray] = {}
-    if n:
-        top, val = project(units, pivots)
-        for j in range(count):
-            v = np.sort(val[top == j])
-            blocks = round(len(v) * (n / len(units)) / BLOCK)
-            if blocks > 1:
-                edges[j] = np.unique(np.quantile(v, np.arange(1, blocks) / blocks))
-    fitted = spark.sparkContext.broadcast((pivots, edges))  # at most MOST_PIVOTS vectors and SAMPLE edges
-
-    def placed(batches: Iterator[pa.RecordBatch], blocks) -> Iterator[pa.RecordBatch]:
-        """A row for each array of a vector and each block, home block and whether it is its own, that `blocks` gives."""
-        directions, cuts = fitted.value
-        none = np.zeros(0)
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 part = batch.slice(at, 2048)
-                top, val = project(unit_rows(part.column("vec"), dim), directions)
-                mask = np.zeros((len(part), _MASK_WORDS), np.uint64)
-                for c in range(arrays):
-                    mask[np.arange(len(part)), top[:, c] // 64 % _MASK_WORDS] |= np.uint64(1) << (top[:, c] % 64).astype(np.uint64)
-                who, array, block, home, value = [], [], [], [], []
-                for c in range(arrays):
-                    edge = [cuts.get(j, none) for j in top[:, c].tolist()]
-                    at_home = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, val[:, c].tolist())], np.int32)
-                    for take, of in blocks(part, edge, at_home, val[:, c]):
-                        who.append(take)
-                        array.append(top[take, c])
-                        block.append(of)
-                        home.append(at_home[take])
-                        value.append(val[take, c])
-                w = np.concatenate(who)
-                block, home = np.concatenate(block).astype(np.int32), np.concatenate(home)
-                cols = [pa.array(np.concatenate(array), pa.int32()), pa.array(block), pa.array(home // SPREAD), pa.array(block == home), pa.array(np.concatenate(value).astype(np.float64))]
-                vec = part.take(pa.array(w))
-                cols += [vec.column("id"), vec.column("vec")] + [pa.array(mask[w, i].view(np.int64)) for i in range(_MASK_WORDS)]
-                yield pa.RecordBatch.from_arrays(cols, ["array", "block", "part", "own", "value", "id", "vec", *[f"m{i}" for i in range(_MASK_WORDS)]])
-
-    def around(part, edge, home, value):
-        last = np.array([len(e) for e in edge])
-        for step in (0, -1, 1):
-            take = np.flatnonzero((home + step >= 0) & (home + step <= last))
-            yield take, home[take] + step
-
-    def at_home(part, edge, home, value):
-        yield np.arange(len(home)), home
-
-    def beyond(part, edge, home, value):
-        """Blocks within the k-th distance of a query that `around` has left out."""
-        reach = part.column("reach").to_numpy() + 1e-4  # rounding
+                yield part, *project(unit_rows(part.column("vec"), dim))
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, top, value in projected(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(top.ravel(), pa.int32()), pa.array(value.ravel(), pa.float32())], ["array", "value"])
+
+    # Where arrays can be longer than a block, their edges are quantiles over all rows.
+    edges: dict[int, np.ndarray] = {}
+    share = np.bincount(project(units)[0].ravel(), minlength=count).max() / len(units) if n else 0
+    if share * n > BLOCK / 2:
+        index = vectors.mapInArrow(values, "array int, value float").groupBy("array")
+        at = [i / EDGES for i in range(1, EDGES)]
+        index = index.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", at, 10_000).alias("q")).where(F.col("n") > BLOCK)
+        blocks = F.least(F.lit(EDGES), F.ceil(F.col("n") / BLOCK))
+        kept = F.transform(F.sequence(F.lit(1), blocks - 1), lambda i: F.get("q", (i * EDGES / blocks).cast("int") - 1))
+        edges = {r.array: np.unique(r.kept) for r in index.select("array", kept.alias("kept")).toLocalIterator()}  # a cut for each BLOCK rows
+    cuts = spark.sparkContext.broadcast(edges)
+
+    def placed(batches: Iterator[pa.RecordBatch], blocks, held: bool, asking: bool) -> Iterator[pa.RecordBatch]:
+        """A row for each array of a vector and each block that `blocks` gives; queries ask with their reach if they have one."""
+        none = np.zeros(0)
+        for part, top, value in projected(batches):
+            tops = [x.tobytes() for x in np.stack([top.astype(np.float32), value.astype(np.float32)], 1)]
+            asks = part.column("reach").to_numpy() if "reach" in part.schema.names else np.full(len(part), 0.0 if asking else np.nan)
+            who, array, block, home = [], [], [], []
+            for c in range(arrays):
+                edge = [cuts.value.get(j, none) for j in top[:, c].tolist()] if cuts.value else [none] * len(part)
+                at_home = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, value[:, c].tolist())], np.int32) if cuts.value else np.zeros(len(part), np.int32)
+                take, of = blocks(edge, at_home, value[:, c], asks)
+                who.append(take)
+                array.append(top[take, c])
+                block.append(of)
+                home.append(at_home[take])
+            w = np.concatenate(who)
+            vec = part.take(pa.array(w))
+            cols = [pa.array(np.concatenate(array), pa.int32()), pa.array(np.concatenate(block).astype(np.int32)), pa.array(np.concatenate(home) // SPREAD), pa.array([held] * len(w), pa.bool_())]
+            cols += [pa.array(asks[w]), vec.column("id"), vec.column("vec"), pa.array(tops, pa.binary()).take(pa.array(w))]
+            yield pa.RecordBatch.from_arrays(cols, ["array", "block", "part", "held", "asks", "id", "vec", "tops"])
+
+    def at_home(edge, home, value, asks):
+        return np.arange(len(home)), home
+
+    def beyond(edge, home, value, asks):
+        """Blocks within the k-th distance of a query, but its own."""
+        reach = asks + 1e-4  # rounding
         first = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, (value - reach).tolist())])
         last = np.array([np.searchsorted(e, v, "right") for e, v in zip(edge, (value + reach).tolist())])
-        which = [np.r_[a : h - 1, h + 2 : b + 1] for a, h, b in zip(first.tolist(), home.tolist(), last.tolist())]
-        yield np.repeat(np.arange(len(home)), [len(x) for x in which]), np.concatenate(which)
+        which = [np.r_[a:h, h + 1 : b + 1] for a, h, b in zip(first.tolist(), home.tolist(), last.tolist())]
+        return np.repeat(np.arange(len(home)), [len(x) for x in which]), np.concatenate(which)
 
-    shape = "array int, block int, part int, own boolean, value double, id bigint, vec binary, " + ", ".join(f"m{i} bigint" for i in range(_MASK_WORDS))
-    indexed = vectors.mapInArrow(lambda batches: placed(batches, around), shape)
-    found = indexed.groupBy("array", "block").applyInArrow(lambda t: _search_block(t, dim, k), _NEAR)
+    shape = "array int, block int, part int, held boolean, asks double, id bigint, vec binary, tops binary"
+    indexed = vectors.mapInArrow(lambda batches: placed(batches, at_home, True, True), shape)
+    found = indexed.groupBy("array", "block").applyInArrow(lambda t: _search(t, dim, k), _NEAR)
     near = materialize(_merge(found, k), "near")
 
     kth = -F.get("near", F.lit(k - 1))["far"]
-    if any(len(e) > 1 for e in edges.values()):  # else every array is held whole
+    if edges:  # else every array is held whole
         reach = F.coalesce(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * kth)), F.lit(2.0))
         asked = vectors.join(near.select(F.col("q").alias("id"), reach.alias("reach")), "id")
-        asked = materialize(asked.mapInArrow(lambda batches: placed(batches, beyond), shape), "further")
-        held = vectors.mapInArrow(lambda batches: placed(batches, at_home), shape).drop("part")
+        asked = materialize(asked.mapInArrow(lambda batches: placed(batches, beyond, False, True), shape), "further")
+        held = vectors.mapInArrow(lambda batches: placed(batches, at_home, True, False), shape).drop("part")
         held = held.join(asked.select("array", "block", "part").distinct(), ["array", "block"]).select(*asked.columns)
-        more = asked.unionByName(held).groupBy("array", "block", "part").applyInArrow(lambda t: _search_further(t, dim, k), _NEAR)
+        more = asked.unionByName(held).groupBy("array", "block", "part").applyInArrow(lambda t: _search(t, dim, k), _NEAR)
         near = materialize(_merge(near.unionByName(more), k), "near-further")
     lone = vectors.join(near.where(F.coalesce(kth, F.lit(-2.0)) >= LONELY).select(F.col("q").alias("id")), "id", "left_anti")
     lone = materialize(lone, "lonely")

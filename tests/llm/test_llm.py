@@ -187,7 +187,7 @@ def test_neighbours(spark, monkeypatch):
 
 
 def test_neighbours_beyond_the_blocks_around(spark, monkeypatch):
-    for name, v in (("BLOCK", 16), ("MOST_PIVOTS", 2), ("ARRAYS", 2), ("LONELY", -1.0)):  # all rows in both arrays, none lonely
+    for name, v in (("BLOCK", 16), ("SAMPLE", 2), ("ARRAYS", 2), ("LONELY", -1.0)):  # all rows in both arrays, none lonely
         monkeypatch.setattr(neighbours, name, v)
     x = np.random.default_rng(7).normal(size=(500, 8)).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, v array<float>")
