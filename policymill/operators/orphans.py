@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ class OrphanState:
 
 @dataclass
 class Advance:
-    """What a batch brings.
+    """What a batch brings; each frame is made when it is asked for.
 
     state: after it. found: references that miss their parent as of their load time. withdrawn: such ones of earlier
     batches for which a parent has now come that was loaded in time. changes: references of earlier batches that were
@@ -72,11 +73,35 @@ class Advance:
     the open counts by month.
     """
 
-    state: OrphanState
-    found: DataFrame
-    withdrawn: DataFrame
-    changes: DataFrame
-    deltas: DataFrame
+    before: OrphanState
+    parent_log: DataFrame
+    held: DataFrame  # earlier parent records of the keys that are looked at
+    judged: DataFrame
+
+    @cached_property
+    def state(self) -> OrphanState:
+        touched = self.parent_log.select(*_KEY).distinct()
+        rest = self.before.refs.join(touched, _KEY, "left_anti")
+        return OrphanState(self.before.parents.unionByName(self.parent_log), rest.unionByName(self.judged.select(*rest.columns)))
+
+    @cached_property
+    def found(self) -> DataFrame:
+        return self.judged.where("missing and not coalesce(was_missing, false)").select(*_SEEN)
+
+    @cached_property
+    def withdrawn(self) -> DataFrame:
+        return self.judged.where("was_missing and not missing").select(*_SEEN)
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        kind = F.when(F.col("did_wait"), "resolved").otherwise("reopened")
+        return self.judged.where("did_wait is not null and did_wait <> waits").select(*_SEEN, "since", kind.alias("kind"))
+
+    @cached_property
+    def deltas(self) -> DataFrame:
+        again = self.judged.where("did_wait is not null")
+        out = union_all([_monthly(self.judged, self.held.unionByName(self.parent_log)), _monthly(again, self.held, -1)])
+        return out.groupBy("ref_table", "month").agg(F.sum("delta").alias("delta"))
 
 
 def _month(at: str = "at") -> Column:
@@ -135,21 +160,12 @@ def advance(state: OrphanState, refs: DataFrame, parent_log: DataFrame, slice_ro
     Empty batches and states are fine. Inputs are the frames of references() and parents().
     """
     touched = parent_log.select(*_KEY).distinct()
-    earlier = state.refs.withColumnsRenamed({"missing": "was_missing", "waits": "did_wait"})
-    again, rest = earlier.join(touched, _KEY, "left_semi"), state.refs.join(touched, _KEY, "left_anti")
-    fresh = refs.select(*_SEEN)
-    asked = again.unionByName(fresh.withColumns({"was_missing": F.lit(None).cast("boolean"), "did_wait": F.lit(None).cast("boolean")}))
-    held = state.parents.join(asked.select(*_KEY).distinct(), _KEY, "left_semi")
-    history = held.unionByName(parent_log)
-    judged = materialize(_judge(asked, history, slice_rows), "orphans-judged")
-    found = judged.where("missing and not coalesce(was_missing, false)").select(*_SEEN)
-    withdrawn = judged.where("was_missing and not missing").select(*_SEEN)
-    kind = F.when(F.col("did_wait"), "resolved").otherwise("reopened")
-    changes = judged.where("did_wait is not null and did_wait <> waits").select(*_SEEN, "since", kind.alias("kind"))
-    deltas = union_all([_monthly(fresh, history), _monthly(again, history), _monthly(again, held, -1)])
-    deltas = deltas.groupBy("ref_table", "month").agg(F.sum("delta").alias("delta"))
-    after = OrphanState(state.parents.unionByName(parent_log), rest.unionByName(judged.select(*rest.columns)))
-    return Advance(after, found, withdrawn, changes, deltas)
+    again = state.refs.withColumnsRenamed({"missing": "was_missing", "waits": "did_wait"}).join(touched, _KEY, "left_semi")
+    fresh = refs.select(*_SEEN).withColumns({"was_missing": F.lit(None).cast("boolean"), "did_wait": F.lit(None).cast("boolean")})
+    asked = materialize(again.unionByName(fresh), "orphans-asked")
+    held = materialize(state.parents.join(asked.select(*_KEY).distinct(), _KEY, "left_semi"), "orphans-held")
+    judged = materialize(_judge(asked, held.unionByName(parent_log), slice_rows), "orphans-judged")
+    return Advance(state, parent_log, held, judged)
 
 
 def open_by_month(deltas: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +54,8 @@ def _p5_logs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return refs, log.unionByName(orphans.parents(states, "state_lookup", "load_id", ["state_id"], "loaded_at", F.lit(False)))
 
 
-def _p5(spark: SparkSession, sf_dir: str) -> list[tuple[int | None, orphans.Advance]]:
-    """The logs fed to the state year by year of loading; a batch's state is written before the next."""
+def _p5(spark: SparkSession, sf_dir: str) -> tuple[orphans.OrphanState, list[tuple[int | None, orphans.Advance]]]:
+    """The last state and what each batch brought: the logs fed to the state year by year of loading; a batch's state is written before the next."""
     refs, log = _p5_logs(spark, sf_dir)
     years = refs.select(F.year("at").alias("y")).union(log.select(F.year("at").alias("y"))).distinct().orderBy(F.asc_nulls_first("y"))
     state, out = orphans.OrphanState.empty(spark), []
@@ -65,26 +63,24 @@ def _p5(spark: SparkSession, sf_dir: str) -> list[tuple[int | None, orphans.Adva
         of = F.year("at").eqNullSafe(F.lit(y))
         got = orphans.advance(state, refs.where(of), log.where(of))
         state = orphans.OrphanState(got.state.parents, materialize(got.state.refs, "orphan-refs"))  # parents: parts of the given log
-        out.append((y, replace(got, state=state)))
-    return out
+        out.append((y, got))
+    return state, out
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = _p5(spark, sf_dir)
-    refs = (done[-1][1].state if done else orphans.OrphanState.empty(spark)).refs
-    return refs.where("missing").select("ref_table", F.date_format("at", "yyyy-MM").alias("period"), F.col("ref_id").alias("load_id"))
+    return _p5(spark, sf_dir)[0].refs.where("missing").select("ref_table", F.date_format("at", "yyyy-MM").alias("period"), F.col("ref_id").alias("load_id"))
 
 
 def p5_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphans open at the end of each month, per referring table."""
-    deltas = [got.deltas for _, got in _p5(spark, sf_dir)] or [spark.createDataFrame([], "ref_table string, month timestamp, delta bigint")]
+    deltas = [got.deltas for _, got in _p5(spark, sf_dir)[1]] or [spark.createDataFrame([], "ref_table string, month timestamp, delta bigint")]
     return orphans.open_by_month(union_all(deltas)).select("ref_table", F.date_format("month", "yyyy-MM").alias("period"), "open_refs")
 
 
 def p5_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each yearly batch brought: references found without a parent, and earlier ones resolved or reopened."""
     frames = [spark.createDataFrame([], "year int, ref_table string, kind string")]
-    for y, got in _p5(spark, sf_dir):
+    for y, got in _p5(spark, sf_dir)[1]:
         kinds = [got.found.withColumn("kind", F.lit("found")), got.withdrawn.withColumn("kind", F.lit("withdrawn")), got.changes]
         frames += [f.select(F.lit(y).cast("int").alias("year"), "ref_table", "kind") for f in kinds]
     return union_all(frames).groupBy("year", "ref_table", "kind").agg(F.count(F.lit(1)).alias("refs"))
