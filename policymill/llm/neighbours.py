@@ -19,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.dataset as ds
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from policymill.runtime import materialize
@@ -29,18 +30,29 @@ ARRAYS = 6  # sorted arrays a vector is indexed in
 COLLISIONS = 2
 BLOCK = 4096  # rows of an array that are in one group
 EDGES = 1024  # most cuts of an array
-FIRST_RADIUS = 0.25
-TILE = 128
+FIRST_RADIUS = 0.5
+TILE, _CELLS = 128, 1 << 21  # queries that are compared together, and most cells of their table
 SPREAD = 4  # home blocks whose queries are compared with a further block in one group
 LONELY = 0.45  # a k-th similarity below this widens the query to all rows
 _APART = 8.0  # between arrays on the joint axis of all sorted arrays of a group, more than windows can reach
 
 
-def pack(x: np.ndarray) -> bytes:
-    """A vector as bytes: 16-bit floats if they hold it exactly, else 32-bit ones."""
-    with np.errstate(over="ignore"):
+def pack(vectors: pa.Array, dim: int) -> tuple[pa.Array, pa.Array]:
+    """Usable vectors as bytes (16-bit floats if they hold one exactly, else 32-bit ones) and their digests; NULL for others.
+
+    Usable: not NULL, of `dim` values, all finite, not all zero.
+    """
+    sized = vectors.value_lengths().fill_null(-1).to_numpy() == dim
+    held = vectors.filter(pa.array(sized))
+    x = held.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)  # NULL values are NaN
+    good = np.isfinite(x).all(1) & (x != 0).any(1)
+    with np.errstate(over="ignore", invalid="ignore"):
         half = x.astype(np.float16)
-    return half.tobytes() if np.array_equal(half.astype(np.float32), x) else x.tobytes()
+    exact = (half.astype(np.float32) == x).all(1)
+    packed: list[bytes | None] = [None] * len(vectors)
+    for i, j in zip(np.flatnonzero(sized)[good].tolist(), np.flatnonzero(good).tolist()):
+        packed[i] = (half if exact[j] else x)[j].tobytes()
+    return pa.array(packed, pa.binary()), pa.array([b and xxhash.xxh3_128_digest(b) for b in packed], pa.binary())
 
 
 def unit_rows(packed: pa.Array, dim: int) -> np.ndarray:
@@ -53,12 +65,6 @@ def unit_rows(packed: pa.Array, dim: int) -> np.ndarray:
     return (out / np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]).astype(np.float32)
 
 
-def usable(vector: Column, dim: int) -> Column:
-    """Not NULL, of `dim` values, all finite, not all zero."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.coalesce((F.size(vector) == dim) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
-
-
 def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each row the k greatest (smaller ids first on equal ones), as column numbers and similarities."""
     k = min(k, sims.shape[1])
@@ -89,16 +95,19 @@ class _Arrays:
     def __init__(self, array: np.ndarray, value: np.ndarray):
         axis = (array * _APART + value).ravel()
         order = np.argsort(axis, kind="stable")
-        self.axis, self.row, self.rows = axis[order], order // array.shape[1], len(array)
-
-    def collisions(self, array: np.ndarray, value: np.ndarray, radius: np.ndarray) -> np.ndarray:
-        """Queries x rows: in how many arrays a row lies in the query's window."""
-        centre, reach = array * _APART + value, radius[:, None] + 1e-5  # rounding
-        low, high = np.searchsorted(self.axis, centre - reach).ravel(), np.searchsorted(self.axis, centre + reach, "right").ravel()
-        size = high - low
+        self.axis, self.row, self.rows = axis[order], (order // array.shape[1]).astype(np.int32), len(array)
+
+    def collisions(self, array: np.ndarray, value: np.ndarray, inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
+        """Queries x rows: in how many arrays a row lies in the query's window of radius `outer`, but not in that of `inner`."""
+        centre = array * _APART + value
+        edge = [np.searchsorted(self.axis, centre + r[:, None], side).ravel() for r, side in ((-outer, "left"), (-inner, "left"), (inner, "right"), (outer, "right"))]
+        none = np.repeat(inner < 0, array.shape[1])  # no inner window
+        low = np.concatenate([edge[0], np.where(none, edge[3], edge[2])])
+        size = np.concatenate([np.where(none, edge[3], edge[1]), edge[3]]) - low
         at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        query = np.repeat(np.arange(len(array)), size.reshape(array.shape).sum(1))
-        return np.bincount(query * self.rows + self.row[at], minlength=len(array) * self.rows).reshape(len(array), self.rows)
+        query = np.tile(np.repeat(np.arange(len(array), dtype=np.int32), array.shape[1]), 2)
+        cell = np.repeat(query * np.int32(self.rows), size) + self.row[at]
+        return np.bincount(cell, minlength=len(array) * self.rows).reshape(len(array), self.rows)
 
 
 def _search(t: pa.Table, dim: int, k: int) -> pa.Table:
@@ -117,21 +126,25 @@ def _search(t: pa.Table, dim: int, k: int) -> pa.Table:
         return parts[0]
     unit, arrays = unit_rows(t.column("vec").combine_chunks(), dim), _Arrays(array[held], value[held])
     own = ids[held]
-    for at in range(0, len(asked), TILE):
-        rows, radius = asked[at : at + TILE], FIRST_RADIUS
+    width = max(1, min(TILE, _CELLS // len(held)))
+    for at in range(0, len(asked), width):
+        rows, inner, outer = asked[at : at + width], -1.0, FIRST_RADIUS
+        met, sims = np.zeros((len(rows), len(held)), np.int16), np.empty((len(rows), len(held)), np.float32)
+        seen = np.zeros(len(held), bool)  # rows compared with the tile
         while len(rows):
             given = asks[rows]
-            met = arrays.collisions(array[rows], value[rows], np.where(given > 0, given, radius))
+            met += arrays.collisions(array[rows], value[rows], np.full(len(rows), inner), np.where(given > 0, given + 1e-4, outer)).astype(np.int16)
             near = (met >= COLLISIONS) & (own[None, :] != ids[rows, None])
-            cols = np.flatnonzero(near.any(0))
-            sims = unit[rows] @ unit[held[cols]].T
-            sims[~near[:, cols]] = -2
-            best, vals = _best(sims, own[cols], k) if len(cols) else (np.zeros((len(rows), 1), np.int64), np.full((len(rows), 1), -2.0, np.float32))
+            new = np.flatnonzero(near.any(0) & ~seen)
+            sims[:, new] = unit[rows] @ unit[held[new]].T
+            seen[new] = True
+            best, vals = _best(np.where(near, sims, np.float32(-2)), own, k)
             kth = vals[:, -1] if vals.shape[1] >= k else np.full(len(rows), -2.0)
-            done = (given > 0) | (np.sqrt(np.maximum(0, 2 - 2 * kth)) <= radius) | (radius >= 2)
+            done = (given > 0) | (np.sqrt(np.maximum(0, 2 - 2 * kth)) <= outer) | (outer >= 2)
             if done.any():
-                parts.append(_emit(ids[rows[done]], own[cols] if len(cols) else ids[:1], best[done], vals[done]))
-            rows, radius = rows[~done], radius * 2
+                parts.append(_emit(ids[rows[done]], own, best[done], vals[done]))
+                rows, met, sims = rows[~done], met[~done], sims[~done]
+            inner, outer = outer, outer * 2
     return pa.concat_tables(parts)
 
 
@@ -153,15 +166,16 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
     """
     spark = df.sparkSession
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("struct<vec:binary,digest:binary>")
     def packed(vectors: pa.Array) -> pa.Array:
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
-        return pa.array([pack(x) for x in flat], pa.binary())
+        return pa.StructArray.from_arrays(pack(vectors, dim), ["vec", "digest"])
 
-    rows = df.where(F.col(key).isNotNull() & usable(F.col(vector), dim)).select(F.col(key).cast("bigint").alias("id"), packed(vector).alias("vec"))
+    read = df.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), packed(vector).alias("p"))
+    rows = materialize(read.select("id", "p.vec", "p.digest").where("vec is not null"), "vectors")
     # Equal vectors: one representative, the least key; the k + 1 least keys are all that others can need.
-    w = materialize(rows.groupBy("vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
-    vectors = w.select("id", "vec")
+    many = rows.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("digest", "rep")
+    members = materialize(rows.select("id", "digest").join(many, "digest").select("rep", "id"), "copies")
+    vectors = rows.select("id", "vec").join(members.where("id <> rep"), "id", "left_anti")
     n = vectors.count()
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
     if n:
@@ -269,21 +283,20 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
     far = _merge(vectors.mapInArrow(scan, _NEAR), k) if at else None
     if far is not None:
         near = near.join(lone.select(F.col("id").alias("q")), "q", "left_anti").unionByName(far)
-    return _expand(rows, w, near, k).withColumnRenamed("id", key)
+    return _expand(members, near, k).withColumnRenamed("id", key)
 
 
-def _expand(rows: DataFrame, classes: DataFrame, near: DataFrame, k: int) -> DataFrame:
-    """From representatives to all rows: copies come first, then the neighbours' copies."""
-    many = classes.where("copies > 1").select("vec", F.col("id").alias("rep"))
-    members = rows.join(many, "vec").select("rep", "id")
+def _expand(members: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """From representatives to all rows: copies come first, then the neighbours' copies. `members` are rows with copies."""
     by_rep = least_ids(members, k + 1)
     # Neighbours of a representative, each with its copies.
     one = near.select("q", F.explode("near").alias("x")).select("q", F.col("x.id").alias("rep"), F.col("x.far").alias("far"))
     one = one.join(by_rep, "rep", "left").select("q", F.explode(F.coalesce("least", F.array("rep"))).alias("id"), "far")
     own = by_rep.select(F.col("rep").alias("q"), F.explode("least").alias("id"), F.lit(-1.0).alias("far"))
     lists = one.unionByName(own).groupBy("q").agg(F.array_sort(F.collect_list(F.struct("far", "id"))).alias("all"))
-    asked = members.select(F.col("rep").alias("q"), "id").unionByName(classes.where("copies = 1").select(F.col("id").alias("q"), "id"))
-    lists = asked.join(lists, "q").withColumn("all", F.expr(f"slice(filter(all, x -> x.id <> id), 1, {k})"))
+    copies = members.where("id <> rep").select(F.col("rep").alias("q"), "id").join(lists, "q")
+    lists = lists.withColumn("id", F.col("q")).select(*copies.columns).unionByName(copies)
+    lists = lists.withColumn("all", F.expr(f"slice(filter(all, x -> x.id <> id), 1, {k})"))
     return lists.select("id", F.posexplode("all").alias("i", "x")).select("id", (F.col("i") + 1).alias("rank"), F.col("x.id").alias("neighbour"), (-F.col("x.far")).alias("similarity"))
 
 

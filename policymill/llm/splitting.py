@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ _AT = (
     re.compile(r"(?<=[.!?;])\s|(?<=[。！？])"),
     re.compile(r"\s(?!\s)"),
 )
-_PIECES = "array<struct<start:int,end:int,boundary:string,content:string>>"
+_PIECES = "array<struct<start:int,end:int,boundary:string,lead:int,content:string>>"
 
 
 class Boundaries:
@@ -86,18 +87,19 @@ def _number(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
     both = one.unionByName(many).select(*keys, "base_no", "base_at", F.posexplode("pieces").alias("i", "p"))
     return both.select(
         *keys, (F.col("base_no") + F.col("i")).cast("int").alias("piece_no"), (F.col("base_at") + F.col("p.start")).alias("start"),
-        (F.col("base_at") + F.col("p.end")).alias("end"), F.col("p.boundary").alias("boundary"), F.col("p.content").alias("content"),
+        (F.col("base_at") + F.col("p.end")).alias("end"), F.col("p.boundary").alias("boundary"), F.col("p.lead").alias("lead"), F.col("p.content").alias("content"),
     )
 
 
 def split_texts(df: DataFrame, keys: Sequence[str], text: str, heading: str | None = None, limit: int = LIMIT, overlap: int = OVERLAP, span: int = RANGE) -> DataFrame:
-    """Pieces (*keys, piece_no, start, end, boundary, content) of the texts that exceed `limit` characters.
+    """Pieces (*keys, piece_no, start, end, boundary, lead, content) of the texts that exceed `limit` characters.
 
     The size of an item is the length of its text plus, where `heading` is not NULL, that of the heading and 1. Each
-    piece repeats the heading and a line break before its stretch of text; start and end count in the text. A heading
-    longer than half the limit is repeated up to that half, so that text always fits. Consecutive pieces share 1 to
-    `overlap` characters. NULL, empty and fitting texts give no pieces. `keys` must tell items apart: give a unique
-    column where rows repeat. Other columns are not read.
+    piece repeats the heading and a line break, `lead` characters, before its stretch of text; start and end count in the
+    text. A heading that leaves less than a quarter of the limit is not repeated (lead 0): heading, line break and text
+    are then split as one text, in which start and end count. Consecutive pieces share 1 to `overlap` characters. NULL,
+    empty and fitting texts give no pieces. `keys` must tell items apart: give a unique column where rows repeat. Other
+    columns are not read. A text longer than `span` is read through once and its ranges are spread over tasks.
     """
     if not 1 <= overlap < limit // 8 or span < 4 * limit:
         raise ValueError("overlap must be at least 1 and less than an eighth of limit, span at least four limits")
@@ -105,13 +107,24 @@ def split_texts(df: DataFrame, keys: Sequence[str], text: str, heading: str | No
     h: Column = F.col(heading) if heading else F.lit(None).cast("string")
     items = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(text).alias("t"), h.alias("h"))
     size = F.length("t") + F.coalesce(F.length("h") + 1, F.lit(0))
-    big = items.where(size > limit).withColumn("n", F.length("t")).withColumn("h", F.substring("h", 1, limit // 2 - 1))
+    whole = F.coalesce(F.length("h") + 1 <= limit - limit // 4, F.lit(True))  # the heading is repeated
+    big = items.where(size > limit).withColumn("t", F.when(whole, F.col("t")).otherwise(F.concat("h", F.lit("\n"), "t"))).withColumn("h", F.when(whole, F.col("h")))
     halo = limit + 2 * overlap
-    count = F.greatest(F.lit(1), F.ceil(F.col("n") / span)).cast("int")
-    ranged = big.withColumn("ranges", count).withColumn("range_no", F.explode(F.sequence(F.lit(0), F.col("ranges") - 1)))
-    low = F.greatest(F.lit(0), F.col("range_no") * span - halo)
-    stretch = F.when(F.col("ranges") == 1, F.col("t")).otherwise(F.substring("t", low + 1, F.lit(span + 2 * halo)))
-    ranged = ranged.withColumn("stretch", stretch)
+    big = big.withColumn("ranges", F.greatest(F.lit(1), F.ceil(F.length("t") / span)).cast("int"))
+
+    def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each range of a text, with its halos."""
+        for batch in batches:
+            for i in range(len(batch)):
+                row, value = batch.slice(i, 1), batch.column("t")[i].as_py()
+                for no in range(row.column("ranges")[0].as_py()):
+                    stretch = value[max(0, no * span - halo) : (no + 1) * span + halo]
+                    own = [row.column(c) for c in (*names, "h", "ranges")]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array([no], pa.int32()), pa.array([len(value)], pa.int64()), pa.array([stretch])], [*names, "h", "ranges", "range_no", "n", "stretch"])
+
+    kinds = [f"{n} {big.schema[n].dataType.simpleString()}" for n in names]
+    long = big.where("ranges > 1").mapInArrow(ranged, ", ".join([*kinds, "h string", "ranges int", "range_no int", "n bigint", "stretch string"]))
+    short = big.where("ranges = 1").select(*names, "h", "ranges", F.lit(0).alias("range_no"), F.length("t").cast("bigint").alias("n"), F.col("t").alias("stretch"))
 
     @F.pandas_udf(f"struct<chars:int,pieces:{_PIECES}>")
     def cut(stretch: pd.Series, h: pd.Series, n: pd.Series, no: pd.Series, ranges: pd.Series) -> pd.DataFrame:
@@ -121,12 +134,13 @@ def split_texts(df: DataFrame, keys: Sequence[str], text: str, heading: str | No
             low = max(0, k * span - halo)
             begin, end = k * span - low, min(length, (k + 1) * span) - low
             pieces, left, right = cut_range(s, begin, end, k == 0, k == of - 1, limit - len(lead), overlap)
-            rows.append((right - left, [(a - left, b - left, KINDS[kind], lead + s[a:b]) for a, b, kind in pieces]))
+            rows.append((right - left, [(a - left, b - left, KINDS[kind], len(lead), lead + s[a:b]) for a, b, kind in pieces]))
         return pd.DataFrame(rows, columns=["chars", "pieces"])
 
-    table = ranged.withColumn("c", cut("stretch", "h", "n", "range_no", "ranges")).select(*names, "range_no", "ranges", "c.*")
+    both = short.unionByName(long.repartition(*names, "range_no"))
+    table = both.withColumn("c", cut("stretch", "h", "n", "range_no", "ranges")).select(*names, "range_no", "ranges", "c.*")
     out = _number(table, names)
-    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "piece_no", "start", "end", "boundary", "content")
+    return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "piece_no", "start", "end", "boundary", "lead", "content")
 
 
 def split_files(spark: SparkSession, paths: Sequence[str], limit: int = LIMIT, overlap: int = OVERLAP, span: int = 1 << 20) -> DataFrame:
@@ -149,7 +163,6 @@ def split_files(spark: SparkSession, paths: Sequence[str], limit: int = LIMIT, o
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for path, size, of, k in batch[["path", "size", "ranges", "range_no"]].itertuples(index=False):
                 store, at = fs.FileSystem.from_uri(path)
                 low, high = max(0, k * span - halo), min(size, (k + 1) * span + halo)
@@ -166,8 +179,8 @@ def split_files(spark: SparkSession, paths: Sequence[str], limit: int = LIMIT, o
                 halves = [raw[skip : edges[0]], raw[edges[0] : edges[1]], raw[edges[1] :]]
                 a, b, c = (x.decode("utf-8", "replace") for x in halves)
                 pieces, left, right = cut_range(a + b + c, len(a), len(a) + len(b), k == 0, k == of - 1, limit, overlap)
-                out.append((path, k, of, right - left, [(x - left, y - left, KINDS[z], (a + b + c)[x:y]) for x, y, z in pieces]))
-            yield pd.DataFrame(out, columns=["path", "range_no", "ranges", "chars", "pieces"])
+                row = (path, k, of, right - left, [(x - left, y - left, KINDS[z], 0, (a + b + c)[x:y]) for x, y, z in pieces])
+                yield pd.DataFrame([row], columns=["path", "range_no", "ranges", "chars", "pieces"])
 
     table = ranged.mapInPandas(read, f"path string, range_no int, ranges int, chars int, pieces {_PIECES}")
-    return _number(table, ["path"])
+    return _number(table, ["path"]).drop("lead")

@@ -72,7 +72,7 @@ def test_pieces(spark, span):
     rng = random.Random(3)
     block = lambda: rng.choice(["### Head\n", "One sentence here. Another follows! ", "\n\n", "- item\n", "a | b | c\n", "y" * rng.randrange(1, 900), "\r\n", " "])
     rows = [(i, "".join(block() for _ in range(rng.randrange(1, 400))), rng.choice([None, "h", "Path > deeper"])) for i in range(40)]
-    rows += [(100, "z" * 70_000, None), (101, None, "h"), (102, "", None), (103, "q " * 600, "H" * 1500), (104, "w" * 1990, "H" * 10)]
+    rows += [(100, "z" * 70_000, None), (101, None, "h"), (102, "", None), (103, "q " * 600, "H" * 1500), (105, "q " * 600, "H" * 1499), (106, "", "H " * 2500), (107, "\u00e9 end. " * 30_000, "h"), (104, "w" * 1990, "H" * 10)]
     df = spark.createDataFrame(rows, "id int, t string, h string")
     got = {}
     for r in splitting.split_texts(df, ["id"], "t", "h", span=span).collect():
@@ -81,9 +81,10 @@ def test_pieces(spark, span):
     for i, t, h in rows:
         own = sorted(got.get(i, []), key=lambda r: r.piece_no)
         if own:
-            lead = "" if h is None else h[:999] + "\n"
+            long = h is not None and len(h) > 1499  # heading and text are then one text
+            lead, t = ("", h + "\n" + t) if long else ("" if h is None else h + "\n", t)
             assert [r.piece_no for r in own] == list(range(len(own))) and own[0].start == 0 and own[-1].end == len(t)
-            assert all(r.content == lead + t[r.start : r.end] and len(r.content) <= 2000 for r in own)
+            assert all(r.content == lead + t[r.start : r.end] and len(r.content) <= 2000 and r.lead == len(lead) for r in own)
             assert all(1 <= a.end - b.start <= 200 for a, b in zip(own, own[1:]))
 
 
