@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -105,3 +106,14 @@ def stem_hits(text: Column, stems: list[str]) -> Column:
 
     low = F.lower(text)
     return F.coalesce(count(F.when(low.rlike(rf"(?<![a-z0-9])(?:{begins})"), low)), F.lit(0))
+
+
+def stems(words: Column) -> Column:
+    """Stem of each lower-case word; NULL for stop words. Meant for the distinct words of a corpus."""
+    stop = frozenset(StopWordsRemover.loadDefaultStopWords("english"))
+
+    @F.arrow_udf("string")
+    def run(given: pa.Array) -> pa.Array:
+        return pa.array([None if w is None or w in stop else stem(w) for w in given.to_pylist()], pa.string())
+
+    return run(words)

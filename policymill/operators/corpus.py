@@ -135,16 +135,16 @@ def section_text(c: Corpus) -> DataFrame:
     return per.select("doc_pk", "section", F.size("p").cast("bigint").alias("chunks"), text.alias("text"))
 
 
-def text_page(c: Corpus, offset: int = 0, most: int = 6000) -> DataFrame:
+def text_page(c: Corpus, offset: int = 0, most: int = 6000, chunks: DataFrame | None = None) -> DataFrame:
     """(doc_pk, section, total_chars, text, next_offset): a stretch of each section text; `most` is clamped to 500 .. 20000.
 
     `next_offset` is where the next page begins, NULL at the end. Only the chunks that reach into the page are brought
-    together, so a section of any length costs no more than the page.
+    together, so a section of any length costs no more than the page. `chunks` are those of doc_chunk unless others are given.
     """
     offset, most = max(0, offset), max(500, min(20000, most))
     key = ["doc_pk", "section"]
     shown = F.when(~F.col("heading_path").eqNullSafe(F.col("__prev")) | (F.col("__first") == 0), F.col("heading_path"))
-    rows = c.read("doc_chunk").select(*key, "source_key", "chunk_index", "chunk_id", "heading_path", "content")
+    rows = (chunks if chunks is not None else c.read("doc_chunk")).select(*key, "source_key", "chunk_index", "chunk_id", "heading_path", "content")
     order = ["source_key", "chunk_index", "chunk_id"]
     # The heading before each chunk says which headings show; their lengths then give the positions.
     rows = tables.running(rows, key, order, F.lit(0), "section-headings", "heading_path").withColumnRenamed("__no", "__first")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from policymill.functions import markup, values
 from policymill.operators import chunking, corpus, embedding, evaluate, retrieval, tables
 from policymill.operators.corpus import CONTRACTOR_KEY, Corpus
-from policymill.runtime import table
+from policymill.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -201,9 +201,26 @@ def _scope(spark, sf_dir) -> DataFrame:
     return c.read("doc_chunk").join(c.active().select("doc_pk"), "doc_pk", "left_semi").where(~F.col("section").endswith("_codes"))
 
 
-@query(_KW)
+_SCORED = f"SELECT chunk_id, hits, rank, round(hits * 0.1::DOUBLE / (hits * 0.1::DOUBLE + 1), 6) AS score FROM ({_KW})"
+
+
+@query(_SCORED)
 def keyword_topk(spark, sf_dir):
-    return retrieval.keyword_topk(_scope(spark, sf_dir), "chunk_id", "content", WORDS)
+    return retrieval.keyword_topk(_scope(spark, sf_dir), "chunk_id", "content", WORDS).withColumn("score", F.round("score", 6))
+
+
+@query("SELECT lexeme, count(*) AS chunks, CAST(sum(n) AS bigint) AS occurrences FROM (SELECT chunk_id, lexeme, count(*) AS n FROM (SELECT chunk_id, unnest(string_split_regex(lower(content), '[^a-z0-9]+')) AS lexeme FROM doc_chunk) WHERE lexeme <> '' GROUP BY 1, 2) GROUP BY 1")
+def lexeme_counts(spark, sf_dir):
+    """In how many chunks and how often each lexeme occurs."""
+    words = retrieval.lexeme_table(table(spark, sf_dir, "doc_chunk"), "chunk_id", "content")
+    return words.groupBy("lexeme").agg(F.count(F.lit(1)).alias("chunks"), F.sum("n").alias("occurrences"))
+
+
+@query(_SCORED)
+def lexeme_topk(spark, sf_dir):
+    """The ranking of keyword_topk from a written lexeme table."""
+    words = materialize(retrieval.lexeme_table(_scope(spark, sf_dir), "chunk_id", "content"), "lexemes")
+    return retrieval.lexeme_topk(words, "chunk_id", WORDS).withColumn("score", F.round("score", 6))
 
 
 @query()
