@@ -70,7 +70,7 @@ def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     k = min(k, sims.shape[1])
     floor = -np.partition(-sims, k - 1, axis=1)[:, k - 1]
     cols, vals = np.full((len(sims), k), -1), np.full((len(sims), k), -2.0, np.float32)
-    row, col = np.nonzero(sims >= floor[:, None])  # ties with the k-th too
+    row, col = np.nonzero(sims >= np.maximum(floor, np.float32(-1.5))[:, None])  # ties with the k-th too; -2 is no similarity
     order = np.lexsort((ids[col], -sims[row, col], row))
     row, col = row[order], col[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -97,63 +97,79 @@ class _Arrays:
         order = np.argsort(axis, kind="stable")
         self.axis, self.row, self.rows = axis[order], (order // array.shape[1]).astype(np.int32), len(array)
 
-    def collisions(self, array: np.ndarray, value: np.ndarray, inner: np.ndarray, outer: np.ndarray) -> np.ndarray:
-        """Queries x rows: in how many arrays a row lies in the query's window of radius `outer`, but not in that of `inner`."""
-        centre = array * _APART + value
-        edge = [np.searchsorted(self.axis, centre + r[:, None], side).ravel() for r, side in ((-outer, "left"), (-inner, "left"), (inner, "right"), (outer, "right"))]
-        none = np.repeat(inner < 0, array.shape[1])  # no inner window
-        low = np.concatenate([edge[0], np.where(none, edge[3], edge[2])])
-        size = np.concatenate([np.where(none, edge[3], edge[1]), edge[3]]) - low
+    def spread(self, low: np.ndarray, size: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Cells (query x row) of the stretches of the axis of length `size` from `low`."""
         at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        query = np.tile(np.repeat(np.arange(len(array), dtype=np.int32), array.shape[1]), 2)
-        cell = np.repeat(query * np.int32(self.rows), size) + self.row[at]
-        return np.bincount(cell, minlength=len(array) * self.rows).reshape(len(array), self.rows)
+        return np.repeat(query.astype(np.int32) * np.int32(self.rows), size) + self.row[at]
+
+    def sharing(self, array: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Queries x rows: whether a row is in one of the query's arrays that `which` (queries x arrays) marks."""
+        query, of = np.nonzero(which)
+        centre = array[query, of] * _APART
+        low = np.searchsorted(self.axis, centre - _APART / 2)
+        out = np.zeros(len(array) * self.rows, bool)
+        out[self.spread(low, np.searchsorted(self.axis, centre + _APART / 2) - low, query)] = True
+        return out.reshape(len(array), self.rows)
+
+    def collisions(self, array: np.ndarray, value: np.ndarray, which: np.ndarray, inner: float, outer: np.ndarray) -> np.ndarray:
+        """Queries x rows: in how many of the marked arrays a row lies in the window of radius `outer`, but not of `inner` (< 0: none)."""
+        query, of = np.nonzero(which)
+        centre, outer = array[query, of] * _APART + value[query, of], outer[query]
+        low, high = np.searchsorted(self.axis, centre - outer), np.searchsorted(self.axis, centre + outer, "right")
+        if inner >= 0:
+            within, beyond = np.searchsorted(self.axis, centre - inner), np.searchsorted(self.axis, centre + inner, "right")
+            low, high, query = np.concatenate([low, beyond]), np.concatenate([within, high]), np.tile(query, 2)
+        cells = self.spread(low, high - low, query)
+        return np.bincount(cells, minlength=len(array) * self.rows).reshape(len(array), self.rows)
 
 
 def _search(t: pa.Table, dim: int, k: int) -> pa.Table:
     """Neighbours of the rows that ask among the rows that a group holds.
 
-    `asks` is NaN for rows that don't, 0 for windows that are widened as needed, else the radius of the windows.
+    `asks` is NaN for rows that don't, 0 for windows that are widened as needed, else the radius of the windows. Two rows
+    meet in each array that they share; they are compared in the first of the query's, where it stands out most.
     """
-    asks, ids = t.column("asks").to_numpy(), t.column("id").to_numpy()
+    asks, ids, here = t.column("asks").to_numpy(), t.column("id").to_numpy(), t.column("array")[0].as_py()
     tops = np.frombuffer(b"".join(t.column("tops").to_pylist()), np.float32).reshape(len(t), 2, -1).astype(np.float64)
     array, value = tops[:, 0], tops[:, 1]
+    place = (array == here).argmax(1)
     held = np.flatnonzero(t.column("held").to_numpy())
-    asked = np.flatnonzero(~np.isnan(asks))
-    asked = asked[np.lexsort((array[asked, 1] if array.shape[1] > 1 else array[asked, 0], array[asked, 0]))]  # alike ones in a tile
+    asked = np.flatnonzero(~np.isnan(asks) & (place <= array.shape[1] - COLLISIONS))
+    keys = [np.where(place[asked] > c, array[asked, c], -1) for c in range(array.shape[1] - 1, -1, -1)]
+    asked = asked[np.lexsort([*keys, place[asked]])]  # those with the same arrays before this one in a tile
     parts = [_emit(np.zeros(0, np.int64), ids, np.zeros((0, 1), np.int64), np.zeros((0, 1), np.float32))]
     if not len(held):
         return parts[0]
     unit, arrays = unit_rows(t.column("vec").combine_chunks(), dim), _Arrays(array[held], value[held])
-    own = ids[held]
+    own, order = ids[held], np.arange(array.shape[1])
     width = max(1, min(TILE, _CELLS // len(held)))
     for at in range(0, len(asked), width):
         rows, inner, outer = asked[at : at + width], -1.0, FIRST_RADIUS
-        met, sims = np.zeros((len(rows), len(held)), np.int16), np.empty((len(rows), len(held)), np.float32)
+        apart = ~arrays.sharing(array[rows], order < place[rows, None]) & (own[None, :] != ids[rows, None])
+        met, sims = np.zeros(apart.shape, np.int16), np.full(apart.shape, -2, np.float32)
         seen = np.zeros(len(held), bool)  # rows compared with the tile
         while len(rows):
             given = asks[rows]
-            met += arrays.collisions(array[rows], value[rows], np.full(len(rows), inner), np.where(given > 0, given + 1e-4, outer)).astype(np.int16)
-            near = (met >= COLLISIONS) & (own[None, :] != ids[rows, None])
+            reach = np.where(given > 0, given + 1e-4, outer)  # rounding
+            met += arrays.collisions(array[rows], value[rows], order >= place[rows, None], inner, reach).astype(np.int16)
+            near = apart & (met >= COLLISIONS)
             new = np.flatnonzero(near.any(0) & ~seen)
             sims[:, new] = unit[rows] @ unit[held[new]].T
             seen[new] = True
-            best, vals = _best(np.where(near, sims, np.float32(-2)), own, k)
+            cols = np.flatnonzero(seen)
+            best, vals = _best(np.where(near[:, cols], sims[:, cols], np.float32(-2)), own[cols], k) if len(cols) else (np.zeros((len(rows), 1), np.int64), np.full((len(rows), 1), -2.0, np.float32))
             kth = vals[:, -1] if vals.shape[1] >= k else np.full(len(rows), -2.0)
             done = (given > 0) | (np.sqrt(np.maximum(0, 2 - 2 * kth)) <= outer) | (outer >= 2)
             if done.any():
-                parts.append(_emit(ids[rows[done]], own, best[done], vals[done]))
-                rows, met, sims = rows[~done], met[~done], sims[~done]
+                parts.append(_emit(ids[rows[done]], own[cols] if len(cols) else own[:1], best[done], vals[done]))
+                rows, met, sims, apart = rows[~done], met[~done], sims[~done], apart[~done]
             inner, outer = outer, outer * 2
     return pa.concat_tables(parts)
 
 
 def _merge(near: DataFrame, k: int) -> DataFrame:
-    """(q, near) with the k nearest of all lists of q: at most k for each array, so a bounded number."""
-    flat = near.groupBy("q").agg(F.flatten(F.collect_list("near")).alias("all"))
-    by_id = flat.withColumn("all", F.array_sort(F.transform("all", lambda x: F.struct(x["id"].alias("id"), x["far"].alias("far")))))
-    once = by_id.withColumn("all", F.expr("filter(all, (x, i) -> i = 0 or all[i - 1].id <> x.id)"))
-    return once.select("q", F.slice(F.array_sort(F.transform("all", lambda x: F.struct(x["far"].alias("far"), x["id"].alias("id")))), 1, k).alias("near"))
+    """(q, near) with the k nearest of all lists of q: at most k for each group, so a bounded number; no two name the same row."""
+    return near.groupBy("q").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
 
 
 def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from policymill.llm import near_duplicates, neighbours, packing, splitting, subjects, tokenizer
-from policymill.runtime import shared_dir, table
+from policymill.runtime import materialize, shared_dir, table
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def p3_neighbours(spark: SparkSession, sf_dir: str, model: str = "policy-embed:v
     """The five most similar chunks of every chunk with a usable vector."""
     rows = table(spark, sf_dir, "chunk_embedding").where(F.col("model") == model)
     # Only the vectors of chunks with several are brought together.
-    several = rows.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk_id")
+    several = materialize(rows.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk_id"), "several")
     latest = rows.join(several, "chunk_id", "left_semi").groupBy("chunk_id").agg(F.max_by("embedding", F.struct("created_at", F.xxhash64("embedding"))).alias("embedding"))
     latest = latest.unionByName(rows.join(several, "chunk_id", "left_anti").select("chunk_id", "embedding"))
     return neighbours.nearest(latest, "chunk_id", "embedding", dim)

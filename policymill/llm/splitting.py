@@ -77,14 +77,13 @@ def cut_range(text: str, begin: int, end: int, first: bool, last: bool, limit: i
     return pieces, left, right
 
 
-def _number(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Piece rows of a table of ranges: numbers and offsets by prefix sums over each item's ranges."""
-    before = Window.partitionBy(*keys).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)  # ranges, not pieces
-    many = ranges.where("ranges > 1")
-    many = many.withColumn("base_no", F.coalesce(F.sum(F.size("pieces")).over(before), F.lit(0)))
-    many = many.withColumn("base_at", F.coalesce(F.sum("chars").over(before), F.lit(0)))
-    one = ranges.where("ranges = 1").withColumn("base_no", F.lit(0).cast("bigint")).withColumn("base_at", F.lit(0).cast("bigint"))
-    both = one.unionByName(many).select(*keys, "base_no", "base_at", F.posexplode("pieces").alias("i", "p"))
+def _number(ranges: DataFrame, keys: Sequence[str], several: bool) -> DataFrame:
+    """Piece rows of a table of ranges; with `several` of an item, numbers and offsets are prefix sums over its ranges."""
+    no, at = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+    if several:
+        before = Window.partitionBy(*keys).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)  # ranges, not pieces
+        no, at = F.coalesce(F.sum(F.size("pieces")).over(before), no), F.coalesce(F.sum("chars").over(before), at)
+    both = ranges.withColumns({"base_no": no, "base_at": at}).select(*keys, "base_no", "base_at", F.posexplode("pieces").alias("i", "p"))
     return both.select(
         *keys, (F.col("base_no") + F.col("i")).cast("int").alias("piece_no"), (F.col("base_at") + F.col("p.start")).alias("start"),
         (F.col("base_at") + F.col("p.end")).alias("end"), F.col("p.boundary").alias("boundary"), F.col("p.lead").alias("lead"), F.col("p.content").alias("content"),
@@ -137,9 +136,10 @@ def split_texts(df: DataFrame, keys: Sequence[str], text: str, heading: str | No
             rows.append((right - left, [(a - left, b - left, KINDS[kind], len(lead), lead + s[a:b]) for a, b, kind in pieces]))
         return pd.DataFrame(rows, columns=["chars", "pieces"])
 
-    both = short.unionByName(long.repartition(*names, "range_no"))
-    table = both.withColumn("c", cut("stretch", "h", "n", "range_no", "ranges")).select(*names, "range_no", "ranges", "c.*")
-    out = _number(table, names)
+    def pieces(rows: DataFrame, several: bool) -> DataFrame:
+        return _number(rows.withColumn("c", cut("stretch", "h", "n", "range_no", "ranges")).select(*names, "range_no", "c.*"), names, several)
+
+    out = pieces(short, False).unionByName(pieces(long.repartition(*names, "range_no"), True))
     return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "piece_no", "start", "end", "boundary", "lead", "content")
 
 
@@ -178,9 +178,10 @@ def split_files(spark: SparkSession, paths: Sequence[str], limit: int = LIMIT, o
                     skip += 1
                 halves = [raw[skip : edges[0]], raw[edges[0] : edges[1]], raw[edges[1] :]]
                 a, b, c = (x.decode("utf-8", "replace") for x in halves)
-                pieces, left, right = cut_range(a + b + c, len(a), len(a) + len(b), k == 0, k == of - 1, limit, overlap)
-                row = (path, k, of, right - left, [(x - left, y - left, KINDS[z], 0, (a + b + c)[x:y]) for x, y, z in pieces])
-                yield pd.DataFrame([row], columns=["path", "range_no", "ranges", "chars", "pieces"])
+                text = a + b + c
+                pieces, left, right = cut_range(text, len(a), len(a) + len(b), k == 0, k == of - 1, limit, overlap)
+                row = (path, k, right - left, [(x - left, y - left, KINDS[z], 0, text[x:y]) for x, y, z in pieces])
+                yield pd.DataFrame([row], columns=["path", "range_no", "chars", "pieces"])
 
-    table = ranged.mapInPandas(read, f"path string, range_no int, ranges int, chars int, pieces {_PIECES}")
-    return _number(table, ["path"]).drop("lead")
+    table = ranged.mapInPandas(read, f"path string, range_no int, chars int, pieces {_PIECES}")
+    return _number(table, ["path"], True).drop("lead")
