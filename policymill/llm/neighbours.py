@@ -31,7 +31,8 @@ COLLISIONS = 2
 BLOCK = 4096  # rows of an array that are in one group
 EDGES = 1024  # most cuts of an array
 FIRST_RADIUS = 0.5
-TILE, _CELLS = 128, 1 << 21  # queries that are compared together, and most cells of their table
+TILE, _CELLS = 128, 1 << 20  # queries that are compared together, and most cells of their table
+_ROWS = 1024  # vectors that are unpacked at a time
 SPREAD = 4  # home blocks whose queries are compared with a further block in one group
 LONELY = 0.45  # a k-th similarity below this widens the query to all rows
 _APART = 8.0  # between arrays on the joint axis of all sorted arrays of a group, more than windows can reach
@@ -42,27 +43,33 @@ def pack(vectors: pa.Array, dim: int) -> tuple[pa.Array, pa.Array]:
 
     Usable: not NULL, of `dim` values, all finite, not all zero.
     """
-    sized = vectors.value_lengths().fill_null(-1).to_numpy() == dim
-    held = vectors.filter(pa.array(sized))
-    x = held.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)  # NULL values are NaN
-    good = np.isfinite(x).all(1) & (x != 0).any(1)
-    with np.errstate(over="ignore", invalid="ignore"):
-        half = x.astype(np.float16)
-    exact = (half.astype(np.float32) == x).all(1)
-    packed: list[bytes | None] = [None] * len(vectors)
-    for i, j in zip(np.flatnonzero(sized)[good].tolist(), np.flatnonzero(good).tolist()):
-        packed[i] = (half if exact[j] else x)[j].tobytes()
+    packed: list[bytes | None] = []
+    for at in range(0, len(vectors), _ROWS):
+        part = vectors.slice(at, _ROWS)
+        sized = part.value_lengths().fill_null(-1).to_numpy() == dim
+        x = part.filter(pa.array(sized)).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)  # NULL values are NaN
+        good = np.isfinite(x).all(1) & (x != 0).any(1)
+        with np.errstate(over="ignore", invalid="ignore"):
+            half = x.astype(np.float16)
+        exact = (half == x).all(1)
+        own: list[bytes | None] = [None] * len(part)
+        for i, j in zip(np.flatnonzero(sized)[good].tolist(), np.flatnonzero(good).tolist()):
+            own[i] = (half if exact[j] else x)[j].tobytes()
+        packed += own
     return pa.array(packed, pa.binary()), pa.array([b and xxhash.xxh3_128_digest(b) for b in packed], pa.binary())
 
 
 def unit_rows(packed: pa.Array, dim: int) -> np.ndarray:
     """Unit vectors of packed ones."""
-    raw = packed.to_pylist()
-    half = np.fromiter((len(b) == 2 * dim for b in raw), bool, len(raw))
-    out = np.empty((len(raw), dim), np.float64)
-    for kind, which in ((np.float16, half), (np.float32, ~half)):
-        out[which] = np.frombuffer(b"".join(b for b, w in zip(raw, which) if w), kind).reshape(-1, dim)
-    return (out / np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]).astype(np.float32)
+    out = np.empty((len(packed), dim), np.float32)
+    for at in range(0, len(packed), _ROWS):
+        raw = packed.slice(at, _ROWS).to_pylist()
+        half = np.fromiter((len(b) == 2 * dim for b in raw), bool, len(raw))
+        some = np.empty((len(raw), dim), np.float64)
+        for kind, which in ((np.float16, half), (np.float32, ~half)):
+            some[which] = np.frombuffer(b"".join(b for b, w in zip(raw, which) if w), kind).reshape(-1, dim)
+        out[at : at + _ROWS] = some / np.sqrt(np.einsum("ij,ij->i", some, some))[:, None]
+    return out
 
 
 def _best(sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +220,8 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
 
     def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         for batch in batches:
-            for at in range(0, len(batch), 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, len(batch), _ROWS):
+                part = batch.slice(at, _ROWS)
                 yield part, *project(unit_rows(part.column("vec"), dim))
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
