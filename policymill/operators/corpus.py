@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from policymill.functions import values
 from policymill.operators import tables
-from policymill.runtime import table
+from policymill.runtime import materialize, table
 
 CONTRACTOR_KEY = ["contractor_id", "contractor_type_id", "contractor_version"]
 PART, ENTIRE = " - ", "entire state"  # fixed values: what splits the name of a part of a state, and marks the whole of it
@@ -122,17 +122,39 @@ def profile(c: Corpus) -> DataFrame:
     return out.drop("states").fillna(0, ["sections", "chunks", "chars", "codes", "contractors"])
 
 
-def section_text(c: Corpus) -> DataFrame:
-    """(doc_pk, section, chunks, chars, text_hash): sections put together in order, a heading where it changes."""
-    from pyspark.sql import Window
+_SECTION = ["doc_pk", "section"]
 
-    w = Window.partitionBy("doc_pk", "section").orderBy("source_key", "chunk_index", "chunk_id")
-    rows = c.read("doc_chunk").withColumn("__before", F.lag("heading_path").over(w)).withColumn("__no", F.row_number().over(w))
-    shown = F.when(~F.col("heading_path").eqNullSafe(F.col("__before")) | (F.col("__no") == 1), F.col("heading_path"))
-    rows = rows.withColumn("__part", F.concat_ws("\n", shown, F.coalesce("content", F.lit(""))))
-    per = rows.groupBy("doc_pk", "section").agg(F.array_sort(F.collect_list(F.struct("__no", "__part"))).alias("p"))
-    text = F.array_join(F.transform("p", lambda x: x["__part"]), "\n\n")
-    return per.select("doc_pk", "section", F.size("p").cast("bigint").alias("chunks"), text.alias("text"))
+
+def _placed_parts(chunks: DataFrame) -> DataFrame:
+    """(doc_pk, section, __at, __part): the parts of each section text, a heading where it changes, and the characters before them.
+
+    Parts are joined by an empty line, so the next one begins two characters after the end of one.
+    """
+    shown = F.when(~F.col("heading_path").eqNullSafe(F.col("__prev")) | (F.col("__first") == 0), F.col("heading_path"))
+    order = ["source_key", "chunk_index", "chunk_id"]
+    rows = chunks.select(*_SECTION, *order, "heading_path", "content")
+    # The heading before each chunk says which headings show; their lengths then give the positions.
+    rows = tables.running(rows, _SECTION, order, F.lit(0), "section-headings", "heading_path").withColumnRenamed("__no", "__first")
+    rows = rows.select(*_SECTION, *order, F.concat_ws("\n", shown, F.coalesce("content", F.lit(""))).alias("__part"))
+    return tables.running(rows, _SECTION, order, F.length("__part") + 2, "section-parts").select(*_SECTION, "__at", "__part")
+
+
+def section_pages(c: Corpus, size: int = 20_000) -> DataFrame:
+    """(doc_pk, section, page_no, text): the text of every section in pages of `size` characters, put together in order.
+
+    Joined in the order of page_no they are the whole text. A section of any length is spread over its pages.
+    """
+    placed = materialize(_placed_parts(c.read("doc_chunk")), "placed-parts")
+    total = placed.groupBy(*_SECTION).agg(F.max(F.col("__at") + F.length("__part")).alias("__total"))
+    piece, first = F.concat("__part", F.lit("\n\n")), F.expr(f"__at div {size}")
+    rows = placed.withColumn("page_no", F.explode(F.sequence(first, F.expr(f"(__at + length(__part) + 1) div {size}"))))
+    start = F.greatest(F.col("page_no") * size, F.col("__at"))
+    cut = F.substring(piece, (start - F.col("__at") + 1).cast("int"), ((F.col("page_no") + 1) * size - start).cast("int"))
+    pages = rows.groupBy(*_SECTION, "page_no").agg(F.array_sort(F.collect_list(F.struct("__at", cut.alias("x")))).alias("p"))  # one page
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in _SECTION]
+    pages = pages.join(total.withColumnsRenamed({k: f"__{k}" for k in _SECTION}), on).where((F.col("page_no") == 0) | (F.col("page_no") * size < F.col("__total")))
+    text = F.substring(F.array_join("p.x", ""), F.lit(1), F.least(F.lit(size).cast("bigint"), F.col("__total") - F.col("page_no") * size).cast("int"))
+    return pages.select(*_SECTION, "page_no", text.alias("text"))
 
 
 def text_page(c: Corpus, offset: int = 0, most: int = 6000, chunks: DataFrame | None = None) -> DataFrame:
@@ -141,15 +163,8 @@ def text_page(c: Corpus, offset: int = 0, most: int = 6000, chunks: DataFrame |
     `next_offset` is where the next page begins, NULL at the end. Only the chunks that reach into the page are brought
     together, so a section of any length costs no more than the page. `chunks` are those of doc_chunk unless others are given.
     """
-    offset, most = max(0, offset), max(500, min(20000, most))
-    key = ["doc_pk", "section"]
-    shown = F.when(~F.col("heading_path").eqNullSafe(F.col("__prev")) | (F.col("__first") == 0), F.col("heading_path"))
-    rows = (chunks if chunks is not None else c.read("doc_chunk")).select(*key, "source_key", "chunk_index", "chunk_id", "heading_path", "content")
-    order = ["source_key", "chunk_index", "chunk_id"]
-    # The heading before each chunk says which headings show; their lengths then give the positions.
-    rows = tables.running(rows, key, order, F.lit(0), "section-headings", "heading_path").withColumnRenamed("__no", "__first")
-    rows = rows.select(*key, *order, F.concat_ws("\n", shown, F.coalesce("content", F.lit(""))).alias("__part"))
-    placed = tables.running(rows, key, order, F.length("__part") + 2, "section-parts")
+    offset, most, key = max(0, offset), max(500, min(20000, most)), _SECTION
+    placed = _placed_parts(chunks if chunks is not None else c.read("doc_chunk"))
     end = F.col("__at") + F.length("__part")
     total = placed.groupBy(*key).agg(F.max(end).cast("bigint").alias("total_chars"))
     within = placed.where((F.col("__at") - 2 < offset + most) & (end + 2 > offset))

@@ -82,26 +82,22 @@ FORMATS = {
     "state_lookup": Format(("state_id", "state_abbrev", "description"), {"state_id": "int"}, {"state_id": "id"}),
 }
 
-_TIME = r"(?:([01][0-9]|2[0-3]):([0-5][0-9]):([0-5][0-9]))"
-_ISO = rf"^([0-9]{{4}})-([0-9]{{2}})-([0-9]{{2}})(?:[ T]{_TIME})?$"
-_US = rf"^([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}|[0-9]{{2}})(?: {_TIME})?$"
+_TIME = r"(?:[01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
+_ISO = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?:[ T]{_TIME})?$"
+_US = rf"^[0-9]{{1,2}}/[0-9]{{1,2}}/(?:[0-9]{{4}}|[0-9]{{2}})(?: {_TIME})?$"
 
 
 def parse_stamp(c: Column) -> Column:
     """Timestamp of the accepted forms, NULL for any other text; two-digit years from 69 on are 19xx."""
-
-    def at(pattern: str, group: int) -> Column:
-        return F.regexp_extract(c, pattern, group).try_cast("int")
-
-    def stamp(pattern: str, y: Column, m: int, d: int) -> Column:
-        clock = [F.coalesce(at(pattern, g), F.lit(0)) for g in (4, 5, 6)]
-        day = F.try_to_timestamp(F.format_string("%04d-%02d-%02d", y, at(pattern, m), at(pattern, d)), F.lit("yyyy-MM-dd"))
-        clocked = F.timestamp_seconds(F.unix_timestamp(day) + clock[0] * 3600 + clock[1] * 60 + clock[2])
-        return F.when(c.rlike(pattern) & (y > 0), clocked)
-
-    short = at(_US, 3)
-    year = F.when(F.length(F.regexp_extract(c, _US, 3)) == 4, short).when(short >= 69, short + 1900).otherwise(short + 2000)
-    return F.coalesce(stamp(_ISO, at(_ISO, 1), 2, 3), stamp(_US, year, 1, 2))
+    day = F.regexp_extract(c, r"^[^ T]*", 0)
+    short = F.try_to_timestamp(day, F.lit("M/d/yy"))  # 2000 to 2099
+    short = F.when(F.year(short) >= 2069, F.add_months(F.to_date(short), -1200).cast("timestamp")).otherwise(short)
+    iso, us = c.rlike(_ISO) & ~day.startswith("0000"), c.rlike(_US) & ~day.endswith("/0000")
+    at = F.when(iso, F.try_to_timestamp(day, F.lit("yyyy-MM-dd")))
+    at = at.when(us & day.rlike(r"/[0-9]{4}$"), F.try_to_timestamp(day, F.lit("M/d/yyyy"))).when(us, short)
+    hour, minute, second = (F.substring(c, i, 2).try_cast("int") for i in (-8, -5, -2))
+    clock = F.when(F.length(c) > F.length(day), hour * 3600 + minute * 60 + second).otherwise(0)
+    return F.timestamp_seconds(F.unix_timestamp(at) + clock)
 
 
 def _valid(kind: str, c: Column) -> Column:

@@ -131,6 +131,27 @@ v AS (SELECT row_id, source_table, file_name, line_no, CASE
   WHEN state IS NOT NULL AND NOT (regexp_matches(state, '^[0-9]{{1,3}}$') AND NOT regexp_matches(state, '^0+$')) THEN 'invalid_state_id' END AS reason FROM j)
 """
 
+
+
+def _typed_sql(source: str) -> str:
+    """SQL of the typed rows of a source: whole numbers, stamps, and texts without the empty ones."""
+    f, out = delimited.FORMATS[source], []
+    for i, c in enumerate(f.fields):
+        x = _field(i)
+        if f.types.get(c) == "int":
+            n = rf"regexp_replace({x}, '\.0$', '')"
+            x = f"CASE WHEN regexp_matches({n}, '^[+-]?[0-9]+$') THEN try_cast({n} AS integer) END"
+        elif f.types.get(c) == "timestamp":
+            day = f"regexp_extract({x}, '^([^ T]*)', 1)"
+            at = f"coalesce(try_strptime({day}, '%Y-%m-%d'), CASE WHEN regexp_matches({day}, '/[0-9]{{4}}$') THEN try_strptime({day}, '%m/%d/%Y') ELSE try_strptime({day}, '%m/%d/%y') END)"
+            x = f"{at} + coalesce(try_cast(nullif(regexp_extract({x}, '[ T](.*)$', 1), '') AS interval), INTERVAL 0 SECOND)"
+            x = f"CAST({x} AS timestamp)"
+        else:
+            x = f"nullif({x}, '')"
+        out.append(f"{x} AS {c}")
+    return f"{_P4} SELECT row_id, {', '.join(out)} FROM (SELECT row_id, line FROM r JOIN (SELECT row_id FROM v WHERE reason IS NULL AND source_table = '{source}') USING (row_id))"
+
+
 _P5 = """
 WITH p AS (SELECT 'contractor' AS pt, contractor_id || '|' || contractor_type_id || '|' || contractor_version AS k, loaded_at AS ts, load_id AS seq, coalesce(status = 'D', false) AS gone FROM contractor
   UNION ALL SELECT 'state_lookup', CAST(state_id AS varchar), loaded_at, load_id, false FROM state_lookup),
@@ -142,6 +163,8 @@ ORACLE = {
     "p1_summary": f"SELECT snapshot_date, change_kind, count(*) AS changes FROM ({_P1}) GROUP BY ALL",
     "p4_found": _P4 + "SELECT CAST(row_id AS bigint) AS row_id FROM v WHERE reason IS NOT NULL",
     "p4_reasons": _P4 + "SELECT * FROM v WHERE reason IS NOT NULL",
+    "p4_policy_code": _typed_sql("policy_code"),
+    "p4_state_lookup": _typed_sql("state_lookup"),
     "p5_found": _P5 + """
 SELECT ref_table, strftime(ts, '%Y-%m') AS period, load_id FROM (
   SELECT r.ref_table, r.ts, r.load_id, arg_max(p.gone, (p.ts, p.seq)) AS gone FROM r LEFT JOIN p ON p.pt = r.pt AND p.k = r.k AND p.ts <= r.ts GROUP BY ALL)

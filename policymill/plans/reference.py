@@ -127,10 +127,14 @@ def policy_profile(spark, sf_dir):
     return corpus.profile(Corpus(spark, sf_dir, AS_OF)).select("doc_pk", "jurisdiction", "sections", "chunks", "chars", "codes", "contractors")
 
 
-@query("""WITH r AS (SELECT *, lag(heading_path) OVER w AS before, row_number() OVER w AS rn FROM doc_chunk WINDOW w AS (PARTITION BY doc_pk, section ORDER BY source_key, chunk_index, chunk_id))
-SELECT doc_pk, section, count(*) AS chunks, sha256(string_agg(CASE WHEN heading_path IS NOT NULL AND (rn = 1 OR heading_path IS DISTINCT FROM before) THEN heading_path || chr(10) ELSE '' END || coalesce(content, ''), chr(10) || chr(10) ORDER BY rn)) AS digest FROM r GROUP BY 1, 2""")
+_TEXTS = """WITH r AS (SELECT *, lag(heading_path) OVER w AS before, row_number() OVER w AS rn FROM doc_chunk WINDOW w AS (PARTITION BY doc_pk, section ORDER BY source_key NULLS FIRST, chunk_index NULLS FIRST, chunk_id)),
+t AS (SELECT doc_pk, section, string_agg(CASE WHEN heading_path IS NOT NULL AND (rn = 1 OR heading_path IS DISTINCT FROM before) THEN heading_path || chr(10) ELSE '' END || coalesce(content, ''), chr(10) || chr(10) ORDER BY rn) AS x FROM r GROUP BY 1, 2)"""
+
+
+@query(f"{_TEXTS} SELECT doc_pk, section, CAST(i AS bigint) AS page_no, sha256(substring(x, CAST(i * 3000 + 1 AS bigint), 3000)) AS digest FROM (SELECT *, unnest(range(greatest(1, CAST(ceil(length(x) / 3000.0) AS bigint)))) AS i FROM t)")
 def policy_text(spark, sf_dir):
-    return corpus.section_text(Corpus(spark, sf_dir)).select("doc_pk", "section", "chunks", F.sha2("text", 256).alias("digest"))
+    """Whole section texts, page by page."""
+    return corpus.section_pages(Corpus(spark, sf_dir), 3000).select("doc_pk", "section", "page_no", F.sha2("text", 256).alias("digest"))
 
 
 @query("""WITH r AS (SELECT *, lag(heading_path) OVER w AS before, row_number() OVER w AS rn FROM doc_chunk WINDOW w AS (PARTITION BY doc_pk, section ORDER BY source_key NULLS FIRST, chunk_index NULLS FIRST, chunk_id)),

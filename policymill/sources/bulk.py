@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +10,28 @@ from pyspark.sql import functions as F
 from policymill.operators.tables import upsert
 
 
-def csv_tables(directory: str) -> dict[str, str]:
-    """Table name (lower-case stem) -> file, of all CSV files below a directory; the newest of equal names."""
-    files = sorted(Path(directory).rglob("*.[cC][sS][vV]"), key=lambda p: p.stat().st_mtime)
-    return {p.stem.lower(): str(p) for p in files}
+def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
+    """Table name (lower-case stem) -> file, of all CSV files below a directory of any storage; the newest of equal names."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").load(directory)
+    stem = F.lower(F.regexp_extract("path", r"([^/]*)\.[^./]*$", 1))
+    newest = files.select(stem.alias("stem"), "modificationTime", "path").groupBy("stem").agg(F.max(F.struct("modificationTime", "path"))["path"].alias("path"))
+    return {r.stem: r.path for r in newest.collect()}  # one row a table
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def is_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether no line of a file has bytes that are no UTF-8 (or, as good as that, a replacement character)."""
+    return spark.read.text(path).where(F.contains("value", F.lit("\ufffd"))).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """A CSV file as text columns: names stripped and lower-case, short records padded, empty values NULL.
 
-    Quoted fields may hold doubled quotes and line breaks. Give ISO-8859-1 for single-byte files.
+    Without an `encoding` files are UTF-8, or windows-1252 where they are not. Quoted fields may hold doubled quotes and line
+    breaks, for which a file is read by one task; for records that are lines use problem 4's structural index.
     """
+    encoding = encoding or ("UTF-8" if is_utf8(spark, path) else "windows-1252")
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE").option("encoding", encoding).csv(path)
-    named = raw.toDF(*[c.strip().lstrip("﻿").lower() for c in raw.columns])
+    named = raw.toDF(*[c.strip().lstrip("\ufeff").lower() for c in raw.columns])
     return named.select(*[F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in named.columns])
 
 
@@ -45,7 +53,13 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def merge(spark: SparkSession, new: DataFrame, path: str, target: str, key: Sequence[str]) -> DataFrame:
-    """Upsert `new` into the table at `path`, written to the new directory `target`; readers swap when it is whole."""
-    upsert(spark.read.parquet(path), new, key).write.parquet(target)
+def merge(spark: SparkSession, new: DataFrame, path: str, target: str, key: Sequence[str], dry_run: bool = False) -> DataFrame:
+    """Upsert `new` into the table at `path`, written to the new directory `target`; readers swap when it is whole.
+
+    A dry run writes nothing and gives the rows that would be written.
+    """
+    merged = upsert(spark.read.parquet(path), new, key)
+    if dry_run:
+        return merged
+    merged.write.parquet(target)
     return spark.read.parquet(target)

@@ -47,6 +47,8 @@ def test_values(spark):
     assert tuple(r) == (12, True, "a", "NCD 20.4")
     bad = spark.createDataFrame([("nan",), ("inf",), ("1e99",), ("",), (None,)], "n string").select(values.whole(F.col("n")).alias("n")).collect()
     assert all(x.n is None for x in bad)
+    links = spark.createDataFrame([(" http://",), ("HTTPS://",), ("http://a.b",), ("",), (None,)], "u string").select(values.url(F.col("u")).alias("u")).collect()
+    assert [x.u for x in links] == [None, None, "http://a.b", None, None]
     assert values.code_candidates("w1234", "ICD10CM") == ["W1234", "W12.34"]
 
 
@@ -86,9 +88,21 @@ def test_tables_and_sources(spark, tmp_path):
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
     assert {tuple(r) for r in tables.upsert(old, new, ["k"]).collect()} == {(1, "a"), (2, "c"), (3, "d")}
     (tmp_path / "LCD.csv").write_text('﻿ID, Name \n1,"a ""b""\nc"\n2\n', encoding="utf-8")
-    got = bulk.read_csv(spark, bulk.csv_tables(str(tmp_path))["lcd"])
+    got = bulk.read_csv(spark, bulk.csv_tables(spark, str(tmp_path))["lcd"])
     assert got.columns == ["id", "name"] and {tuple(r) for r in got.collect()} == {("1", 'a "b"\nc'), ("2", None)}
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "Old.CSV").write_bytes("id,name\n1,caf\u00e9 \u2013 \u20ac\n".encode("cp1252"))
+    assert set(bulk.csv_tables(spark, str(tmp_path))) == {"lcd", "old"}
+    assert [tuple(r) for r in bulk.read_csv(spark, bulk.csv_tables(spark, str(tmp_path))["old"]).collect()] == [("1", "caf\u00e9 \u2013 \u20ac")]
+    (tmp_path / "items.jsonl").write_text('{"id": "a", "input": {"question": "q"}, "expected_output": {"public_ids": ["L1"]}, "metadata": {"tools": ["t"], "state": "MN"}}\n{"x": 1}\n')
+    item = bulk.read_evaluation(spark, str(tmp_path / "items.jsonl")).collect()
+    assert len(item) == 1 and item[0].expected_output.public_ids == ["L1"] and item[0].metadata.state == "MN" and item[0].expected_output.answer is None
+    parts = str(tmp_path / "parts")
+    spark.createDataFrame([("LCD", 1), ("ART", 2)], "t string, k int").write.partitionBy("t").parquet(parts)
+    bulk.replace_partitions(spark.createDataFrame([("ART", 3)], "t string, k int"), parts, ["t"])
+    assert {(r.t, r.k) for r in spark.read.parquet(parts).collect()} == {("LCD", 1), ("ART", 3)}
     bulk.append(old, str(tmp_path / "t"))
+    assert bulk.merge(spark, new, str(tmp_path / "t"), str(tmp_path / "none"), ["k"], dry_run=True).count() == 3 and not (tmp_path / "none").exists()
     merged = bulk.merge(spark, new, str(tmp_path / "t"), str(tmp_path / "t2"), ["k"])
     assert merged.count() == 3
 
