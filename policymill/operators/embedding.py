@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 Provider = Callable[[list[str]], np.ndarray]
 
 
+def prefix(model: str, prefixes: Mapping[str, tuple[str, str]], query: bool = False) -> str:
+    """What a model of a family (the name before `:`) wants before documents, or before queries; nothing for other families."""
+    return prefixes.get(model.split(":")[0], ("", ""))[query]
+
+
+def without_model(vectors: DataFrame, model: str) -> DataFrame:
+    """Vectors of the other models, from which a forced refresh starts; NULL models are others."""
+    return vectors.where(~F.coalesce(F.col("model") == model, F.lit(False)))
+
+
 def missing(chunks: DataFrame, vectors: DataFrame, model: str) -> DataFrame:
     """Chunks without a vector of the model."""
     return chunks.join(vectors.where(F.col("model") == model).select("chunk_id").distinct(), "chunk_id", "left_anti")
@@ -60,3 +70,21 @@ def embed(texts: DataFrame, key: str, text: str, provider: Provider, dim: int, b
 
     kind = texts.schema[key].dataType.simpleString()
     return texts.where(F.col(text).isNotNull()).select(key, text).mapInPandas(run, f"{key} {kind}, embedding array<float>")
+
+
+def refresh(chunks: DataFrame, vectors: DataFrame, model: str, provider: Provider, dim: int, prefixes: Mapping[str, tuple[str, str]] | None = None, force: bool = False) -> DataFrame:
+    """(chunk_id, embedding) still to be added for a model: reused from chunks with the same hash, else computed once a hash.
+
+    `chunks` holds chunk_id, content_hash, heading_path and content; with `force` every chunk is computed anew. A dry run
+    looks at reusable() and pending() alone. Chunks without heading and content get no vector.
+    """
+    held = without_model(vectors, model) if force else vectors
+    reused = reusable(chunks, held, model)
+    newest = held.where((F.col("model") == model) & F.col("embedding").isNotNull()).groupBy("chunk_id").agg(F.max_by("embedding", "created_at").alias("embedding"))
+    taken = reused.join(newest.withColumnRenamed("chunk_id", "from_chunk"), "from_chunk").select("chunk_id", "embedding")
+    todo = pending(chunks, held, model)
+    words = chunks.select(F.col("chunk_id").alias("first_chunk"), F.concat_ws("\n\n", "heading_path", "content").alias("text")).where("text <> ''")
+    text = F.concat(F.lit(prefix(model, prefixes or {})), "text").alias("text")
+    made = embed(todo.join(words, "first_chunk").select("content_hash", text), "content_hash", "text", provider, dim)
+    left = missing(chunks, held, model).join(reused.select("chunk_id"), "chunk_id", "left_anti")
+    return taken.unionByName(left.select("chunk_id", "content_hash").join(made, "content_hash").select("chunk_id", "embedding"))

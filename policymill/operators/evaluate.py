@@ -53,3 +53,8 @@ def evidence(df: DataFrame, group: str, order: list[str], text: str, most: int =
 def latency(df: DataFrame, seconds: str) -> DataFrame:
     """One row: runs, mean and 95th percentile by linear interpolation, 0 when there are none."""
     return df.agg(F.count(seconds).alias("runs"), F.round(F.avg(seconds), 6).alias("mean_s"), F.coalesce(F.round(F.expr(f"percentile({seconds}, 0.95)"), 2), F.lit(0.0)).alias("p95_s"))
+
+
+def run_means(each: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(*by, metric, items, mean) of the rows of scores(), over the items to which a metric applies."""
+    return each.groupBy(*(by or []), "metric").agg(F.count("value").alias("items"), F.avg("value").alias("mean"))

@@ -54,6 +54,12 @@ def page(df: DataFrame, order: Sequence[Column], limit: int, offset: int = 0, mo
     return df.orderBy(*order).offset(max(0, offset)).limit(max(1, min(most, limit)))
 
 
+def top_counts(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """(*by, rows): the n most frequent values, the smaller one first on equal counts; NULL counts as a value."""
+    per = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    return per.orderBy(F.desc("rows"), *[F.asc_nulls_first(c) for c in by]).limit(n)
+
+
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str], length: Column, label: str, carry: str | None = None) -> DataFrame:
     """`df` with `__at`, the summed `length` of the rows before in the group, and `__no`, whether there are none (0).
 

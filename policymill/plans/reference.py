@@ -280,6 +280,55 @@ def chunk_diff(spark, sf_dir):
     return chunking.diff(old, edited.unionByName(added))
 
 
+def _applied(spark, sf_dir):
+    """The chunks and vectors after the edits of chunk_diff."""
+    chunks = table(spark, sf_dir, "doc_chunk").select("chunk_id", *chunking.CHUNK_KEY, "content_hash")
+    own = chunks.drop("chunk_id")
+    edited = own.where("section <> 'description'").withColumn("content_hash", F.when(F.col("chunk_index") % 3 == 1, F.sha2("content_hash", 256)).otherwise(F.col("content_hash")))
+    added = own.where("section = 'indication'").withColumn("chunk_index", F.col("chunk_index") + 100000)
+    return chunking.apply_diff(chunks, edited.unionByName(added), table(spark, sf_dir, "chunk_embedding"))
+
+
+_OLD = "(SELECT chunk_id, doc_pk, section, source_key, chunk_index, content_hash AS old_hash FROM doc_chunk)"
+
+
+@query(f"SELECT n.doc_pk, n.section, n.source_key, n.chunk_index, n.content_hash, o.chunk_id AS kept_id FROM {_EDITED} n LEFT JOIN {_OLD} o USING (doc_pk, section, source_key, chunk_index)")
+def chunk_apply(spark, sf_dir):
+    """The chunks after an applied diff; NULL for the ids of new ones."""
+    chunks, _ = _applied(spark, sf_dir)
+    most = table(spark, sf_dir, "doc_chunk").agg(F.max("chunk_id")).first()[0] or 0
+    return chunks.select(*chunking.CHUNK_KEY, "content_hash", F.when(F.col("chunk_id") <= most, F.col("chunk_id")).alias("kept_id"))
+
+
+_SAME = f"(SELECT o.chunk_id, n.content_hash FROM {_EDITED} n JOIN {_OLD} o USING (doc_pk, section, source_key, chunk_index) WHERE n.content_hash = o.old_hash)"
+
+
+@query(f"SELECT e.model, count(*) AS vectors FROM chunk_embedding e SEMI JOIN {_SAME} s USING (chunk_id) GROUP BY 1")
+def vectors_kept(spark, sf_dir):
+    """Vectors that an applied diff leaves, per model."""
+    return _applied(spark, sf_dir)[1].groupBy("model").agg(F.count(F.lit(1)).alias("vectors"))
+
+
+@query(f"""SELECT n.doc_pk, n.section, n.source_key, n.chunk_index, h.from_chunk FROM {_EDITED} n LEFT JOIN {_OLD} o USING (doc_pk, section, source_key, chunk_index)
+JOIN (SELECT s.content_hash, arg_max(s.chunk_id, (e.created_at, s.chunk_id)) AS from_chunk FROM {_SAME} s JOIN chunk_embedding e USING (chunk_id) WHERE e.model = '{MODEL}' AND e.embedding IS NOT NULL GROUP BY 1) h ON h.content_hash = n.content_hash
+WHERE o.chunk_id IS NULL OR o.chunk_id NOT IN (SELECT s.chunk_id FROM {_SAME} s JOIN chunk_embedding e USING (chunk_id) WHERE e.model = '{MODEL}')""")
+def reuse_after_edit(spark, sf_dir):
+    """New chunks, after an applied diff, that take the vector of a chunk with the same hash."""
+    chunks, vectors = _applied(spark, sf_dir)
+    chunks = materialize(chunks, "applied")
+    return embedding.reusable(chunks, vectors, MODEL).join(chunks, "chunk_id").select(*chunking.CHUNK_KEY, "from_chunk")
+
+
+@query("SELECT doc_type, status, count(*) AS documents FROM policy_doc GROUP BY 1, 2")
+def status_counts(spark, sf_dir):
+    return table(spark, sf_dir, "policy_doc").groupBy("doc_type", "status").agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query("SELECT code, count(*) AS rows FROM policy_code GROUP BY 1 ORDER BY rows DESC, code NULLS FIRST LIMIT 20")
+def frequent_codes(spark, sf_dir):
+    return tables.top_counts(table(spark, sf_dir, "policy_code"), ["code"], 20)
+
+
 @query(f"SELECT chunk_id FROM doc_chunk WHERE doc_pk NOT IN (SELECT doc_pk FROM {_ACTIVE})")
 def chunk_prune(spark, sf_dir):
     c = Corpus(spark, sf_dir, AS_OF)

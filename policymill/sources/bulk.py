@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from policymill.operators.tables import upsert
 
 
+# Where windows-1252 differs from ISO-8859-1: the characters that the latter, and the former, give the same bytes.
+_BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_WESTERN = ("".join(map(chr, _BYTES)), bytes(_BYTES).decode("cp1252"))
+
+
 def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
     """Table name (lower-case stem) -> file, of all CSV files below a directory of any storage; the newest of equal names."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").load(directory)
@@ -19,8 +24,8 @@ def csv_tables(spark: SparkSession, directory: str) -> dict[str, str]:
 
 
 def is_utf8(spark: SparkSession, path: str) -> bool:
-    """Whether no line of a file has bytes that are no UTF-8 (or, as good as that, a replacement character)."""
-    return spark.read.text(path).where(F.contains("value", F.lit("\ufffd"))).isEmpty()
+    """Whether the bytes of every line of a file are UTF-8."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
@@ -29,10 +34,12 @@ def read_csv(spark: SparkSession, path: str, encoding: str | None = None) -> Dat
     Without an `encoding` files are UTF-8, or windows-1252 where they are not. Quoted fields may hold doubled quotes and line
     breaks, for which a file is read by one task; for records that are lines use problem 4's structural index.
     """
-    encoding = encoding or ("UTF-8" if is_utf8(spark, path) else "windows-1252")
+    western = encoding is None and not is_utf8(spark, path)
+    encoding = encoding or ("ISO-8859-1" if western else "UTF-8")
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE").option("encoding", encoding).csv(path)
     named = raw.toDF(*[c.strip().lstrip("\ufeff").lower() for c in raw.columns])
-    return named.select(*[F.when(F.col(f"`{c}`") != "", F.col(f"`{c}`")).alias(c) for c in named.columns])
+    text = {c: F.translate(F.col(f"`{c}`"), *_WESTERN) if western else F.col(f"`{c}`") for c in named.columns}
+    return named.select(*[F.when(x != "", x).alias(c) for c, x in text.items()])
 
 
 def read_evaluation(spark: SparkSession, path: str) -> DataFrame:

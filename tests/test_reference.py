@@ -5,6 +5,7 @@ import glob
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,3 +168,28 @@ def test_values_of_every_code(spark, tmp_path):
     spark.createDataFrame(codes, "code_pk bigint, code string, range_pos string, description string").write.parquet(f"{tmp_path}/policy_code.parquet")
     got = {r.code_pk: (r.n, r.flag, r.initial) for r in catalogue.QUERIES["values_parse"](spark, str(tmp_path)).collect()}
     assert got == {1: (12, True, "a"), 2: (100, False, "x"), 3: (None, True, None), 4: (None, False, "b"), 5: (None, True, "n"), 6: (None, None, None)}
+
+
+def test_chunks_are_replaced_and_vectors_refreshed(spark):
+    old = spark.createDataFrame([(7, 1, 0, "a", "A"), (8, 1, 1, "b", "B"), (9, 2, 0, "c", "C")], "chunk_id bigint, doc int, i int, content_hash string, content string")
+    new = spark.createDataFrame([(1, 0, "a", "A"), (1, 1, "x", "X"), (3, 0, "a", "A"), (3, 1, "y", None)], "doc int, i int, content_hash string, content string").withColumn("heading_path", F.lit(None).cast("string"))
+    day = dt.datetime(2025, 1, 1)
+    vectors = spark.createDataFrame([(i, "m:1", [float(i), 0.0], day) for i in (7, 8, 9)] + [(7, "n", [1.0, 1.0], day), (8, None, None, day)], "chunk_id bigint, model string, embedding array<float>, created_at timestamp")
+    chunks, left = chunking.apply_diff(old, new, vectors, ["doc", "i"])
+    got = {(r.doc, r.i): r.chunk_id for r in chunks.collect()}
+    assert got[1, 0] == 7 and got[1, 1] == 8 and sorted((got[3, 0], got[3, 1])) == [10, 11] and len(got) == 4
+    assert sorted((r.chunk_id, r.model) for r in left.collect()) == [(7, "m:1"), (7, "n")]
+    provider = lambda texts: np.array([[len(t), 1.0] for t in texts], np.float32)
+    rows = {r.chunk_id: list(r.embedding) for r in embedding.refresh(chunks, left, "m:1", provider, 2, {"m": ("doc: ", "ask: ")}).collect()}
+    assert rows == {8: [6.0, 1.0], got[3, 0]: [7.0, 0.0]}  # reused for the same hash, none for an empty text
+    forced = {r.chunk_id: list(r.embedding) for r in embedding.refresh(chunks, left, "m:1", provider, 2, force=True).collect()}
+    assert forced == {7: [1.0, 1.0], 8: [1.0, 1.0], got[3, 0]: [1.0, 1.0]}
+    assert embedding.prefix("m:2", {"m": ("d", "q")}, query=True) == "q" and embedding.prefix("x", {}) == ""
+    assert chunking.apply_diff(old.limit(0), new.limit(0), vectors, ["doc", "i"])[0].count() == 0
+
+
+def test_means_and_top_counts(spark):
+    each = spark.createDataFrame([("a", "m", 1.0), ("b", "m", 0.0), ("a", "n", 0.5), ("c", "n", None)], "item_id string, metric string, value double")
+    assert {tuple(r) for r in evaluate.run_means(each).collect()} == {("m", 2, 0.5), ("n", 1, 0.5)}
+    df = spark.createDataFrame([("b",), ("b",), ("a",), (None,), ("c",)], "k string")
+    assert [tuple(r) for r in tables.top_counts(df, ["k"], 3).collect()] == [("b", 2), (None, 1), ("a", 1)]
